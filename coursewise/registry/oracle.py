@@ -151,12 +151,12 @@ def scores_sql(folds: list[tuple]) -> str:
     rows = ", ".join(f"({f}, {c}, {'NULL' if e is None else e})" for f, c, e in folds)
     return f""",
 folds AS (SELECT fold, cutoff_day, CAST(test_end AS INT) AS test_end FROM (VALUES {rows}) f(fold, cutoff_day, test_end)),
-hist AS (
+hist AS MATERIALIZED (
   SELECT fold, id_student, code_module, code_presentation, id_site, activity_type,
          sum(sum_click) AS clicks
   FROM vle_data JOIN folds ON date <= cutoff_day AND (test_end IS NULL OR date <= test_end)
   WHERE activity_type IS NOT NULL GROUP BY ALL),
-fut AS (
+fut AS MATERIALIZED (
   SELECT DISTINCT fold, id_student, code_module, code_presentation, id_site
   FROM vle_data JOIN folds ON date > cutoff_day AND (test_end IS NULL OR date <= test_end)
   WHERE activity_type IS NOT NULL),
@@ -165,46 +165,43 @@ used AS (SELECT DISTINCT fold, id_student, id_site FROM hist),
 items AS (
   SELECT fold, id_site, code_module, code_presentation, activity_type, CAST(sum(clicks) AS DOUBLE) AS raw
   FROM hist GROUP BY ALL),
-pop_raw AS (
+pop_raw AS MATERIALIZED (
   SELECT fold, id_student, id_site, code_module, code_presentation, activity_type, raw
   FROM lc JOIN items USING (fold, code_module, code_presentation)
   ANTI JOIN used USING (fold, id_student, id_site)),
-pop AS (
-  SELECT * EXCLUDE (raw), CASE WHEN max(raw) OVER (PARTITION BY fold, id_student) > 0
-         THEN raw / max(raw) OVER (PARTITION BY fold, id_student) ELSE raw END AS popularity_score
-  FROM pop_raw),
+pop_top AS (SELECT fold, id_student, max(raw) AS top FROM pop_raw GROUP BY ALL),
+pop AS MATERIALIZED (
+  SELECT * EXCLUDE (raw, top), CASE WHEN top > 0 THEN raw / top ELSE raw END AS popularity_score
+  FROM pop_raw JOIN pop_top USING (fold, id_student)),
 random_list AS (
   SELECT fold, id_student, id_site, code_module, code_presentation, activity_type,
          CAST(CAST('0x' || substr(md5('10:' || id_student || ':' || id_site), 1, 8) AS BIGINT) AS DOUBLE)
          / 4294967296.0 AS random_score
   FROM pop_raw),
-sets AS (
+sets AS MATERIALIZED (
   SELECT fold, id_student,
          string_agg(code_module || '|' || code_presentation, ';' ORDER BY code_module, code_presentation) AS course_set
   FROM lc GROUP BY fold, id_student),
 set_courses AS (
   SELECT DISTINCT fold, course_set, code_module, code_presentation FROM sets JOIN lc USING (fold, id_student)),
-cells AS (
+cells AS MATERIALIZED (
   SELECT fold, course_set, id_student, id_site, CAST(avg(clicks) AS DOUBLE) AS v
   FROM set_courses JOIN hist USING (fold, code_module, code_presentation) GROUP BY ALL),
-norms AS (SELECT fold, course_set, id_student, sqrt(sum(v * v)) AS norm FROM cells GROUP BY ALL),
-own AS (SELECT cells.* FROM cells JOIN sets USING (fold, id_student, course_set)),
-dots AS (
-  SELECT a.fold, a.course_set, a.id_student AS learner, b.id_student AS neighbour, sum(a.v * b.v) AS dot
-  FROM own a JOIN cells b ON a.fold = b.fold AND a.course_set = b.course_set AND a.id_site = b.id_site
+units AS MATERIALIZED (
+  SELECT *, CASE WHEN sum(v * v) OVER w > 0 THEN v / sqrt(sum(v * v) OVER w) ELSE 0 END AS u
+  FROM cells WINDOW w AS (PARTITION BY fold, course_set, id_student)),
+own AS MATERIALIZED (SELECT units.* FROM units JOIN sets USING (fold, id_student, course_set)),
+learner_pairs AS MATERIALIZED (
+  SELECT a.fold, a.course_set, a.id_student AS learner, b.id_student AS neighbour, sum(a.u * b.u) AS cosine
+  FROM own a JOIN units b ON a.fold = b.fold AND a.course_set = b.course_set AND a.id_site = b.id_site
        AND a.id_student <> b.id_student
   GROUP BY ALL),
-learner_pairs AS (
-  SELECT d.fold, d.course_set, learner, neighbour,
-         CASE WHEN x.norm > 0 AND y.norm > 0 THEN dot / (x.norm * y.norm) ELSE 0 END AS cosine
-  FROM dots d JOIN norms x ON x.fold = d.fold AND x.course_set = d.course_set AND x.id_student = learner
-  JOIN norms y ON y.fold = d.fold AND y.course_set = d.course_set AND y.id_student = neighbour),
 collab_raw AS (
   SELECT p.fold, p.course_set, learner AS id_student, c.id_site, sum(cosine * c.v) AS raw
   FROM learner_pairs p JOIN cells c
        ON c.fold = p.fold AND c.course_set = p.course_set AND c.id_student = neighbour
   GROUP BY ALL),
-collab_kept AS (
+collab_kept AS MATERIALIZED (
   SELECT r.* FROM collab_raw r
   ANTI JOIN (SELECT * FROM own WHERE v <> 0) u
        ON u.fold = r.fold AND u.id_student = r.id_student AND u.id_site = r.id_site
@@ -212,10 +209,11 @@ collab_kept AS (
 details AS (
   SELECT DISTINCT fold, course_set, id_site, code_module, code_presentation, activity_type
   FROM set_courses JOIN hist USING (fold, code_module, code_presentation)),
-collab AS (
+collab_top AS (SELECT fold, id_student, max(raw) AS top FROM collab_kept GROUP BY ALL),
+collab AS MATERIALIZED (
   SELECT fold, id_student, id_site, code_module, code_presentation, activity_type,
-         raw / max(raw) OVER (PARTITION BY fold, id_student) AS collaborative_score
-  FROM collab_kept LEFT JOIN details USING (fold, course_set, id_site)),
+         raw / top AS collaborative_score
+  FROM collab_kept JOIN collab_top USING (fold, id_student) LEFT JOIN details USING (fold, course_set, id_site)),
 catalogue AS (
   SELECT fold, course_set, id_site, code_module, code_presentation, activity_type, resource_text
   FROM set_courses JOIN resource_data USING (code_module, code_presentation)
@@ -231,23 +229,25 @@ docs AS (SELECT fold, course_set, count(*) AS n FROM catalogue GROUP BY ALL),
 weighted AS (
   SELECT fold, course_set, id_site, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w
   FROM tf JOIN df USING (fold, course_set, term) JOIN docs USING (fold, course_set)),
-vectors AS (
+vectors AS MATERIALIZED (
   SELECT * REPLACE (w / sqrt(sum(w * w) OVER (PARTITION BY fold, course_set, id_site)) AS w) FROM weighted),
-resource_pairs AS (
+resource_pairs AS MATERIALIZED (
   SELECT a.fold, a.course_set, a.id_site AS site, b.id_site AS other, sum(a.w * b.w) AS cosine
   FROM vectors a JOIN vectors b ON a.fold = b.fold AND a.course_set = b.course_set AND a.term = b.term
   GROUP BY ALL),
+used_by_set AS MATERIALIZED (
+  SELECT fold, course_set, id_student, id_site FROM used JOIN sets USING (fold, id_student)),
 content_raw AS (
   SELECT s.fold, s.course_set, s.id_student, p.site AS id_site, sum(cosine) AS raw
-  FROM used u JOIN sets s ON s.fold = u.fold AND s.id_student = u.id_student
-  JOIN resource_pairs p ON p.fold = s.fold AND p.course_set = s.course_set AND p.other = u.id_site
+  FROM used_by_set s JOIN resource_pairs p
+       ON p.fold = s.fold AND p.course_set = s.course_set AND p.other = s.id_site
   GROUP BY ALL),
-content_kept AS (
+content_kept AS MATERIALIZED (
   SELECT * FROM content_raw ANTI JOIN used USING (fold, id_student, id_site) WHERE raw > 0),
-content AS (
-  SELECT fold, id_student, id_site, code_module, code_presentation, activity_type,
-         raw / max(raw) OVER (PARTITION BY fold, id_student) AS content_score
-  FROM content_kept JOIN catalogue USING (fold, course_set, id_site)),
+content_top AS (SELECT fold, id_student, max(raw) AS top FROM content_kept GROUP BY ALL),
+content AS MATERIALIZED (
+  SELECT fold, id_student, id_site, code_module, code_presentation, activity_type, raw / top AS content_score
+  FROM content_kept JOIN content_top USING (fold, id_student) JOIN catalogue USING (fold, course_set, id_site)),
 stacked AS (
   SELECT * EXCLUDE (popularity_score), popularity_score AS p, NULL AS c, NULL AS n FROM pop
   UNION ALL BY NAME SELECT * EXCLUDE (content_score), content_score AS c FROM content
@@ -259,18 +259,18 @@ hybrid AS (
          0.4::DOUBLE * coalesce(max(p), 0) + 0.2::DOUBLE * coalesce(max(c), 0)
          + 0.4::DOUBLE * coalesce(max(n), 0) AS hybrid_score
   FROM stacked GROUP BY ALL),
-lists AS (
+lists AS MATERIALIZED (
   SELECT fold, id_student, code_module, code_presentation, id_site, 'popularity' AS recommender, popularity_score AS score FROM pop
   UNION ALL SELECT fold, id_student, code_module, code_presentation, id_site, 'collaborative', collaborative_score FROM collab
   UNION ALL SELECT fold, id_student, code_module, code_presentation, id_site, 'content', content_score FROM content
   UNION ALL SELECT fold, id_student, code_module, code_presentation, id_site, 'hybrid', hybrid_score FROM hybrid
   UNION ALL SELECT fold, id_student, code_module, code_presentation, id_site, 'random', random_score FROM random_list),
-ranked AS (
+ranked AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY fold, recommender, id_student, code_module, code_presentation
                                ORDER BY round(score, 9) DESC, id_site) AS position
   FROM lists),
 best AS (SELECT * FROM ranked WHERE position <= 20),
-relevant AS (
+relevant AS MATERIALIZED (
   SELECT * FROM fut ANTI JOIN (SELECT DISTINCT fold, id_student, code_module, code_presentation, id_site FROM hist) h
   USING (fold, id_student, code_module, code_presentation, id_site)),
 spine AS (

@@ -22,9 +22,13 @@ def raw_popularity(
     """Unnormalised scores of unused resources of the learners' courses.
 
     The learner's used resources travel as an array with the learner's row, so they are
-    excluded inside the join and the long candidate list is never shuffled for it.
+    excluded inside the join and the long candidate list is never shuffled for it. The
+    short learner rows are spread by learner before they fan out, which also is the
+    partitioning that normalising and ranking ask for.
     """
-    learners = profiles.select(*scope, "id_student", "used_sites", F.inline("courses"))
+    learners = profiles.repartition(*scope, "id_student").select(
+        *scope, "id_student", "used_sites", F.inline("courses")
+    )
     return (
         learners.join(item_clicks(interactions, scope), [*scope, *COURSE])
         .where(~F.array_contains("used_sites", F.col("id_site")))

@@ -572,7 +572,10 @@ def ranker_metrics(spark, sf_dir):
 
 
 def ranker_cv(spark, sf_dir):
-    return run_ml_cross_validation(tables_of(spark, sf_dir), forest={"numTrees": 20})[0]
+    """Days start at 1 in the given tables, so the first training cutoff has to lie after it."""
+    return run_ml_cross_validation(
+        tables_of(spark, sf_dir), (120, 180, 240), 60, K, forest={"numTrees": 20}
+    )[0]
 
 
 def _recommendations(spark, sf_dir) -> DataFrame:

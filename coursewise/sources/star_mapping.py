@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from coursewise.schemas import COURSE, RawTables
+from coursewise.sources.staging import staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,14 +73,20 @@ def catalogue(clicks: DataFrame) -> DataFrame:
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
-    """All seven raw tables in the shape of the course dataset."""
-    clicks = click_rows(spark, sf_dir)
-    courses = (
-        clicks.select(*COURSE)
+    """All seven raw tables in the shape of the course dataset.
+
+    The click log, the catalogue and the courses are landed as files first, as raw tables
+    are; Spark then knows their sizes when it chooses join strategies.
+    """
+    clicks = staged(click_rows(spark, sf_dir), "clicks")
+    resources = staged(catalogue(clicks), "catalogue")
+    courses = staged(
+        resources.select(*COURSE)
         .distinct()
         .withColumn(
             "module_presentation_length", (240 + 5 * _number("code_module", SEGMENTS)).cast("int")
-        )
+        ),
+        "courses",
     )
     customers = (
         _table(spark, sf_dir, "customer")
@@ -163,5 +170,5 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
         student_info=student_info,
         student_registration=student_registration,
         student_vle=clicks.drop("activity_type"),
-        vle=catalogue(clicks),
+        vle=resources,
     )

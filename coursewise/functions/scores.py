@@ -17,6 +17,11 @@ EXPLANATIONS = {
 }
 
 
+# The final ranking compares normalised scores to this step.
+RANKING_DIGITS = 9
+RANKING_STEP = 10.0**-RANKING_DIGITS
+
+
 def max_normalised(raw: DataFrame, name: str, scope: Sequence[str] = ()) -> DataFrame:
     """Scores divided by the learner's best over all the learner's courses."""
     top = F.max("raw_score").over(Window.partitionBy(*scope, "id_student"))
@@ -29,8 +34,8 @@ def max_normalised(raw: DataFrame, name: str, scope: Sequence[str] = ()) -> Data
 
 
 def best_first(score: str) -> list[Column]:
-    """Ranking order: score to nine digits, then resource id, so that ties are settled."""
-    return [F.desc(F.round(score, 9)), F.asc("id_site")]
+    """Ranking order: rounded score, then resource id, so that ties are settled."""
+    return [F.desc(F.round(score, RANKING_DIGITS)), F.asc("id_site")]
 
 
 def top_k(scores: DataFrame, score: str, k: int, keys: Sequence[str]) -> DataFrame:

@@ -16,6 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from coursewise.functions.scores import RANKING_STEP
+from coursewise.schemas import COURSE
+
 LEARNERS_PER_BLOCK = 1024
 ITEMS_PER_BLOCK = 2048
 ENTRIES_PER_BLOCK = 4_000_000
@@ -31,9 +34,14 @@ def blocked_product(
     item_rows: DataFrame,
     sizes: DataFrame,
     detail: Sequence[str],
+    best: int | None = None,
 ) -> DataFrame:
     """Positive scores of unused items: id_student, ``detail`` columns, raw_score.
 
+    With ``best``, a block that holds all of a learner's items leaves out those that cannot
+    be among the ``best`` of their course. Scores within the rounding of the final ranking
+    of the last place stay, so the ranking of what is left decides as it would on all rows.
+
     learner_rows: course_set, id_student, feature, weight, used_site. A row with a feature
     is an entry of the learner's vector, a row with a used_site masks that item.
     item_rows: course_set, ``detail`` (with id_site), features, weights (arrays).
@@ -66,6 +74,7 @@ def blocked_product(
         *detail,
         "features",
         "weights",
+        "item_blocks",
     )
     kinds = {f.name: f for f in item_rows.schema}
     schema = StructType(
@@ -78,11 +87,13 @@ def blocked_product(
     return (
         learner_side.groupBy(*keys)
         .cogroup(item_side.groupBy(*keys))
-        .applyInArrow(_block_scores(list(detail), COLUMNS_PER_STEP), schema)
+        .applyInArrow(_block_scores(list(detail), COLUMNS_PER_STEP, best, COURSE, 2 * RANKING_STEP), schema)
     )
 
 
-def _block_scores(detail: list[str], step: int):
+def _block_scores(
+    detail: list[str], step: int, best: int | None, course: list[str], tolerance: float
+):
     def run(learners: pa.Table, items: pa.Table) -> pa.Table:
         students, row = np.unique(learners["id_student"].to_numpy(), return_inverse=True)
         scores = np.zeros((len(students), items.num_rows))
@@ -117,7 +128,18 @@ def _block_scores(detail: list[str], step: int):
             mask = np.zeros((len(students), len(sites)), dtype=bool)
             mask[row[masked][hit], place[hit]] = True
             scores[mask[:, column]] = 0.0
-        who, what = np.nonzero(scores > 0)
+        keep = scores > 0
+        if best is not None and items.num_rows and items["item_blocks"][0].as_py() == 1:
+            slack = tolerance * scores.max(axis=1, keepdims=True)
+            names = pc.binary_join_element_wise(*[items[c] for c in course], "\x1f")
+            codes = names.combine_chunks().dictionary_encode().indices.to_numpy()
+            for code in np.unique(codes):
+                of_course = np.flatnonzero(codes == code)
+                if len(of_course) > best:
+                    part = scores[:, of_course]
+                    last = np.partition(part, len(of_course) - best, axis=1)
+                    keep[:, of_course] &= part >= last[:, [len(of_course) - best]] - slack
+        who, what = np.nonzero(keep)
         taken = items.select(detail).take(pa.array(what))
         return pa.table(
             {

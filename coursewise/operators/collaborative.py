@@ -125,7 +125,10 @@ def resource_details(
 
 
 def raw_collaborative(
-    interactions: DataFrame, profiles: DataFrame, scope: Sequence[str] = ()
+    interactions: DataFrame,
+    profiles: DataFrame,
+    scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
     sets = course_sets(profiles, scope)
     details = resource_details(interactions, sets, scope)
@@ -153,11 +156,14 @@ def raw_collaborative(
         .agg(n_items.alias("n_items"), (n_items * n_items).alias("n_entries"))
         .join(sets.select("course_set", "n_learners").distinct(), "course_set")
     )
-    return blocked_product(learner_rows, items, sizes, [*scope, *ITEM])
+    return blocked_product(learner_rows, items, sizes, [*scope, *ITEM], best)
 
 
 def collaborative_scores(
-    interactions: DataFrame, profiles: DataFrame, scope: Sequence[str] = ()
+    interactions: DataFrame,
+    profiles: DataFrame,
+    scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
-    raw = raw_collaborative(interactions, profiles, scope)
+    raw = raw_collaborative(interactions, profiles, scope, best)
     return max_normalised(raw, "collaborative_score", scope)

@@ -42,6 +42,7 @@ def raw_content(
     resources: DataFrame,
     profiles: DataFrame,
     scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
     sets = course_sets(profiles, scope)
     catalogue = catalogue_by_course_set(resources, sets, scope)
@@ -87,7 +88,7 @@ def raw_content(
         .agg(F.count(F.lit(1)).alias("n_items"), F.sum(F.size("features")).alias("n_entries"))
         .join(sets.select("course_set", "n_learners").distinct(), "course_set")
     )
-    return blocked_product(learner_rows, items, sizes, [*scope, *ITEM])
+    return blocked_product(learner_rows, items, sizes, [*scope, *ITEM], best)
 
 
 def content_scores(
@@ -95,6 +96,7 @@ def content_scores(
     resources: DataFrame,
     profiles: DataFrame,
     scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
-    raw = raw_content(interactions, resources, profiles, scope)
+    raw = raw_content(interactions, resources, profiles, scope, best)
     return max_normalised(raw, "content_score", scope)

@@ -21,16 +21,20 @@ def source_scores(
     resources: DataFrame,
     profiles: DataFrame,
     scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
     """Max-normalised rows of all three sources in long form: source and score.
 
+    With ``best``, rows that cannot be among a source's ``best`` of a learner-course may be
+    missing; the rest and the order among them are the same.
+
     The raw rows shuffle once, by learner. Normalising, ranking per learner-course and
     mixing all group by keys that start from the learner and need no further shuffle.
     """
     raws = {
-        "popularity": raw_popularity(interactions, profiles, scope),
-        "collaborative": raw_collaborative(interactions, profiles, scope),
-        "content": raw_content(interactions, resources, profiles, scope),
+        "popularity": raw_popularity(interactions, profiles, scope, best),
+        "collaborative": raw_collaborative(interactions, profiles, scope, best),
+        "content": raw_content(interactions, resources, profiles, scope, best),
     }
     together = None
     for source in SOURCES:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from coursewise.functions.scores import max_normalised
+from coursewise.functions.scores import RANKING_STEP, max_normalised
 from coursewise.schemas import COURSE, ITEM
 
 
@@ -17,7 +17,10 @@ def item_clicks(interactions: DataFrame, scope: Sequence[str] = ()) -> DataFrame
 
 
 def raw_popularity(
-    interactions: DataFrame, profiles: DataFrame, scope: Sequence[str] = ()
+    interactions: DataFrame,
+    profiles: DataFrame,
+    scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
     """Unnormalised scores of unused resources of the learners' courses.
 
@@ -25,21 +28,54 @@ def raw_popularity(
     excluded inside the join and the long candidate list is never shuffled for it. The
     short learner rows are spread by learner before they fan out, which also is the
     partitioning that normalising and ranking ask for.
+
+    With ``best``, a course's list is read only as deep as the learner's ``best`` unused
+    resources can lie: past as many surely higher ones as are used, plus ``best``.
     """
+    items = item_clicks(interactions, scope)
+    keep = ~F.array_contains("used_sites", F.col("id_site"))
+    if best is not None:
+        keep = keep & (F.col("higher") < F.lit(best) + F.size("used_sites"))
+        items = _with_higher_count(items, scope)
     learners = profiles.repartition(*scope, "id_student").select(
         *scope, "id_student", "used_sites", F.inline("courses")
     )
     return (
-        learners.join(item_clicks(interactions, scope), [*scope, *COURSE])
-        .where(~F.array_contains("used_sites", F.col("id_site")))
+        learners.join(items, [*scope, *COURSE])
+        .where(keep)
         .select(*scope, "id_student", *ITEM, "raw_score")
     )
 
 
+def _with_higher_count(items: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Number of resources of the course that rank higher however scores are normalised.
+
+    Clicks are cut to steps as wide as the final ranking's rounding at the largest item, and
+    only items at least two steps up count. The rows of a resource listed under several
+    activity types count 1 together, so that used resources account for at most their number.
+    """
+    top = items.agg(F.max("raw_score")).scalar()
+    step = F.floor(F.try_divide(F.col("raw_score"), top * (2 * RANKING_STEP)))
+    above = (
+        Window.partitionBy(*scope, *COURSE)
+        .orderBy("down")
+        .rangeBetween(Window.unboundedPreceding, -2)
+    )
+    kinds = Window.partitionBy(*scope, *COURSE, "id_site")
+    return (
+        items.withColumn("down", -F.coalesce(step, F.lit(0)))
+        .withColumn("share", 1.0 / F.count(F.lit(1)).over(kinds))
+        .withColumn("higher", F.coalesce(F.sum("share").over(above), F.lit(0.0)))
+    )
+
+
 def popularity_scores(
-    interactions: DataFrame, profiles: DataFrame, scope: Sequence[str] = ()
+    interactions: DataFrame,
+    profiles: DataFrame,
+    scope: Sequence[str] = (),
+    best: int | None = None,
 ) -> DataFrame:
-    raw = raw_popularity(interactions, profiles, scope)
+    raw = raw_popularity(interactions, profiles, scope, best)
     return max_normalised(raw, "popularity_score", scope)
 
 

@@ -56,7 +56,7 @@ def generate_candidates(
     check_k(k)
     if scores is None:
         profiles = learner_profiles(interactions, scope, targets)
-        scores = source_scores(interactions, resources, profiles, scope)
+        scores = source_scores(interactions, resources, profiles, scope, k)
     keys = [*scope, *LEARNER_COURSE]
     place = F.row_number().over(Window.partitionBy(*keys, "source").orderBy(*best_first("score")))
     best = scores.withColumn("place", place).where(F.col("place") <= k)

@@ -318,17 +318,17 @@ def _best(scores: DataFrame, name: str) -> DataFrame:
 
 def topk_popularity(spark, sf_dir):
     history, _, profiles = history_of(spark, sf_dir)
-    return _best(popularity_scores(history, profiles), "popularity")
+    return _best(popularity_scores(history, profiles, best=K), "popularity")
 
 
 def topk_collaborative(spark, sf_dir):
     history, _, profiles = history_of(spark, sf_dir)
-    return _best(collaborative_scores(history, profiles), "collaborative")
+    return _best(collaborative_scores(history, profiles, best=K), "collaborative")
 
 
 def topk_content(spark, sf_dir):
     history, resources, profiles = history_of(spark, sf_dir)
-    return _best(content_scores(history, staged(resources, "resources"), profiles), "content")
+    return _best(content_scores(history, staged(resources, "resources"), profiles, best=K), "content")
 
 
 def topk_hybrid(spark, sf_dir):
@@ -422,7 +422,7 @@ def metrics_at_k(spark, sf_dir):
         .join(history.select(*LEARNER_COURSE), LEARNER_COURSE, "left_semi")
         .withColumn("recommender", F.lit("popularity"))
     )
-    scores = popularity_scores(history, learner_profiles(history, targets=spine))
+    scores = popularity_scores(history, learner_profiles(history, targets=spine), best=K)
     best = long_recommendations(scores, K, LEARNER_COURSE, ["popularity"])
     return rounded(metric_rows(spine, count_hits(best, items, LEARNER_COURSE), K, LEARNER_COURSE))
 

@@ -4,16 +4,17 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from coursewise.functions.scores import explanation, hybrid_score
+from coursewise.functions.scores import explanation, hybrid_score, top_k
 from coursewise.operators import blocked_product as blocks
 from coursewise.operators import collaborative as collab_module
 from coursewise.operators.baseline_random import random_scores
 from coursewise.operators.collaborative import collaborative_scores
 from coursewise.operators.content import content_scores
 from coursewise.operators.learners import learner_profiles
-from coursewise.operators.mixing import hybrid_scores, score_table
+from coursewise.operators.mixing import hybrid_scores, score_table, source_scores
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
-from coursewise.schemas import ITEM
+from coursewise.schemas import ITEM, LEARNER_COURSE
+from coursewise.sources.staging import staged
 
 
 def by_item(df, score):
@@ -173,3 +174,34 @@ def test_normalisation_spans_all_courses(interactions_of):
     )
     scores = by_item(popularity_scores(history, learner_profiles(history)).where(F.col("id_student") == 1), "popularity_score")
     assert scores == {(1, 2): 0.25, (1, 12): 1.0}
+
+
+@pytest.mark.parametrize("k", [1, 3])
+def test_pruned_lists_give_the_same_best(interactions_of, k):
+    draw = np.random.default_rng(7)
+    rows = sorted(
+        {
+            (s, c, int("AB".index(c) * 100 + i), int(draw.integers(1, 4)))
+            for s in range(12)
+            for c in ("A", "B")
+            for i in draw.choice(12, size=3, replace=False)
+        }
+    )
+    history = interactions_of(rows)
+    resources = history.select(*ITEM).distinct().withColumn(
+        "resource_text", F.concat_ws(" ", "code_module", "activity_type")
+    )
+    profiles = staged(learner_profiles(history), "profiles")
+    full = source_scores(history, resources, profiles)
+    pruned = source_scores(history, resources, profiles, best=k)
+    keys = [*LEARNER_COURSE, "source"]
+
+    def best(scores):
+        return sorted(
+            (*(r[c] for c in keys), r.position, r.id_site, round(r.score, 9))
+            for r in top_k(scores, "score", k, keys).collect()
+        )
+
+    expected = best(full)
+    assert best(pruned) == expected and len(expected) == 12 * 2 * 3 * k
+    assert pruned.count() < full.count()

@@ -18,6 +18,7 @@ from coursewise.functions.scores import max_normalised
 from coursewise.operators.blocked_product import blocked_product
 from coursewise.operators.learners import course_sets
 from coursewise.schemas import COURSE, ITEM
+from coursewise.sources.staging import staged
 
 ROWS_PER_BLOCK = 50_000
 STEP = 2048
@@ -129,9 +130,12 @@ def raw_collaborative(
     profiles: DataFrame,
     scope: Sequence[str] = (),
     best: int | None = None,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
-    sets = course_sets(profiles, scope)
-    details = resource_details(interactions, sets, scope)
+    # several branches read the small tables: stage them
+    if sets is None:
+        sets = staged(course_sets(profiles, scope), "course_sets")
+    details = staged(resource_details(interactions, sets, scope), "details")
     items = item_table(clicks_by_course_set(interactions, sets, scope)).join(
         details, ["course_set", "id_site"]
     )

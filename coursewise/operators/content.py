@@ -16,6 +16,7 @@ from coursewise.functions.text import term_weights
 from coursewise.operators.blocked_product import blocked_product
 from coursewise.operators.learners import course_sets
 from coursewise.schemas import COURSE, ITEM
+from coursewise.sources.staging import staged
 
 
 def catalogue_by_course_set(
@@ -43,10 +44,13 @@ def raw_content(
     profiles: DataFrame,
     scope: Sequence[str] = (),
     best: int | None = None,
+    sets: DataFrame | None = None,
 ) -> DataFrame:
-    sets = course_sets(profiles, scope)
-    catalogue = catalogue_by_course_set(resources, sets, scope)
-    vectors = text_vectors(catalogue)
+    # several branches read the small tables: stage them
+    if sets is None:
+        sets = staged(course_sets(profiles, scope), "course_sets")
+    catalogue = staged(catalogue_by_course_set(resources, sets, scope), "catalogue")
+    vectors = staged(text_vectors(catalogue), "vectors")
     rows = vectors.groupBy("course_set", "resource_text").agg(
         F.collect_list(F.struct("term", "weight")).alias("entries")
     )

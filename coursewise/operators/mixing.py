@@ -10,8 +10,10 @@ from coursewise.functions.scores import HYBRID_WEIGHTS, hybrid_score
 from coursewise.operators.baseline_random import random_score
 from coursewise.operators.collaborative import raw_collaborative
 from coursewise.operators.content import raw_content
+from coursewise.operators.learners import course_sets
 from coursewise.operators.popularity import raw_popularity
 from coursewise.schemas import ITEM, SCORE_COLUMNS
+from coursewise.sources.staging import staged
 
 SOURCES = ["popularity", "collaborative", "content"]
 
@@ -31,10 +33,11 @@ def source_scores(
     The raw rows shuffle once, by learner. Normalising, ranking per learner-course and
     mixing all group by keys that start from the learner and need no further shuffle.
     """
+    sets = staged(course_sets(profiles, scope), "course_sets")
     raws = {
         "popularity": raw_popularity(interactions, profiles, scope, best),
-        "collaborative": raw_collaborative(interactions, profiles, scope, best),
-        "content": raw_content(interactions, resources, profiles, scope, best),
+        "collaborative": raw_collaborative(interactions, profiles, scope, best, sets),
+        "content": raw_content(interactions, resources, profiles, scope, best, sets),
     }
     together = None
     for source in SOURCES:

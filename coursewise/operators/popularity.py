@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from coursewise.functions.scores import RANKING_STEP, max_normalised
 from coursewise.schemas import COURSE, ITEM
+from coursewise.sources.staging import staged
 
 
 def item_clicks(interactions: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -37,6 +38,7 @@ def raw_popularity(
     if best is not None:
         keep = keep & (F.col("higher") < F.lit(best) + F.size("used_sites"))
         items = _with_higher_count(items, scope)
+    items = staged(items, "items")
     learners = profiles.repartition(*scope, "id_student").select(
         *scope, "id_student", "used_sites", F.inline("courses")
     )
@@ -54,6 +56,7 @@ def _with_higher_count(items: DataFrame, scope: Sequence[str]) -> DataFrame:
     only items at least two steps up count. The rows of a resource listed under several
     activity types count 1 together, so that used resources account for at most their number.
     """
+    items = staged(items, "item_clicks")
     top = items.agg(F.max("raw_score")).scalar()
     step = F.floor(F.try_divide(F.col("raw_score"), top * (2 * RANKING_STEP)))
     above = (

@@ -17,6 +17,7 @@ from coursewise.schemas import (
     SCORE_COLUMNS,
     TEXT_FEATURE,
 )
+from coursewise.sources.staging import staged
 
 SEED = 10
 
@@ -55,7 +56,7 @@ def generate_candidates(
     """
     check_k(k)
     if scores is None:
-        profiles = learner_profiles(interactions, scope, targets)
+        profiles = staged(learner_profiles(interactions, scope, targets), "profiles")
         scores = source_scores(interactions, resources, profiles, scope, k)
     keys = [*scope, *LEARNER_COURSE]
     place = F.row_number().over(Window.partitionBy(*keys, "source").orderBy(*best_first("score")))
@@ -83,7 +84,7 @@ def create_ml_dataset(
     feature row stay with missing features.
     """
     keys = [*scope, *LEARNER_COURSE]
-    spine = evaluated_learner_courses(history, future, scope)
+    spine = staged(evaluated_learner_courses(history, future, scope), "spine")
     candidates = generate_candidates(history, resources, k, spine, scope).where(
         F.col("resource_text").isNotNull()
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -54,7 +55,7 @@ from coursewise.plans.prepare import (
 )
 from coursewise.plans.ranker import (
     category_modes,
-    create_ml_model,
+    load_model,
     numeric_parameters,
     predict_ml_scores,
 )
@@ -62,6 +63,7 @@ from coursewise.plans.recommend import (
     ml_datasets,
     recommend,
     run_ml_cross_validation,
+    run_train,
     serving_tables,
 )
 from coursewise.schemas import (
@@ -73,7 +75,7 @@ from coursewise.schemas import (
     CourseTables,
     ServingTables,
 )
-from coursewise.sources.staging import staged
+from coursewise.sources.staging import stage_root, staged
 from coursewise.sources.star_mapping import raw_tables
 from coursewise.sources.tables import compare_models, recommendation_records, upsert_summary
 
@@ -541,13 +543,24 @@ def evaluate_scored_candidates(spark, sf_dir):
     return rounded(evaluate_scored(staged(scored, "scored"), history, future, "hybrid", K))
 
 
+_TRAINED: dict[tuple, tuple] = {}
+
+
 def _trained(spark, sf_dir, model_type: str):
-    tables = tables_of(spark, sf_dir)
-    training, test = ml_datasets(tables, FEATURE_CUTOFF, CUTOFF, K)
-    training = staged(training, "training_dataset")
-    if model_type == "SVC":
-        training = sample_training_data(training, SAMPLE)
-    return create_ml_model(training, model_type), test
+    """The saved model and the staged test candidates; trained once per session and tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, model_type)
+    if key not in _TRAINED:
+        training, test = ml_datasets(tables_of(spark, sf_dir), FEATURE_CUTOFF, CUTOFF, K)
+        path = f"{stage_root(spark)}/model-{uuid.uuid4().hex}"
+        run_train(
+            staged(training, "training_dataset"),
+            path,
+            model_type,
+            SAMPLE if model_type == "SVC" else None,
+        )
+        _TRAINED[key] = path, staged(test, "test_dataset")
+    path, test = _TRAINED[key]
+    return load_model(path), test
 
 
 def _ranker_scores(spark, sf_dir, model_type: str) -> DataFrame:

@@ -37,10 +37,6 @@ def whole_vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
     return table.where(F.col("vec_id").isNotNull() & F.coalesce(finite, F.lit(False))).select("vec_id", whole.alias("vec"))
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
-
-
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact products of whole numbers: in doubles while they hold them, else in integers."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
@@ -85,6 +81,25 @@ def from_cutoff(cutoffs: np.ndarray, groups: int):
     return pick
 
 
+def scorer(classes: DataFrame, ids: np.ndarray, queries: np.ndarray):
+    """A function from (query, rep) to (query, score, vec_id): exact scores, without the own id."""
+    order = np.argsort(ids)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                place = order[np.searchsorted(ids[order], batch.column("query").to_numpy())]
+                score = (matrix(batch.column("vec"), queries.shape[1]) * queries[place]).sum(1)
+                yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("ids"), pa.array(score)], ["query", "ids", "score"])
+
+    def exact(pairs: DataFrame) -> DataFrame:
+        vectors = pairs.join(classes, "rep").select("query", "ids", "vec")
+        scored = vectors.mapInArrow(run, "query long, ids array<long>, score long")
+        return scored.select("query", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query")
+
+    return exact
+
+
 def top_k(table: DataFrame, is_query: Column, k: int = K, groups: int = GROUPS) -> DataFrame:
     """(query_id, rank, vec_id, score) of every query's k best other ids, ties to the smaller id.
 
@@ -114,11 +129,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, groups: int = GROUPS)
         held = matrix(rows.column("qvec").combine_chunks(), max(width, 1)) if len(ids) else np.zeros((0, width), np.int64)
         slices = [np.ascontiguousarray(held[:, bounds[g] : bounds[g + 1]]) for g in range(groups)]
 
-        def exact(pairs: DataFrame, own: DataFrame = own) -> DataFrame:
-            scored = pairs.join(own, "query").join(classes.select("rep", "ids", "vec"), "rep")
-            scored = scored.select("query", "ids", dot(F.col("vec"), F.col("qvec")).alias("score"))
-            return scored.select("query", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query")
-
+        exact = scorer(classes.select("rep", "ids", "vec"), ids, held)
         best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
         first = None
         for g in range(groups):

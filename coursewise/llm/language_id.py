@@ -21,6 +21,7 @@ SIZES = (1, 2, 3)
 PROFILE = 400
 RUN = re.compile(r"[^\W\d_]+")
 UNDECIDED = "und"
+DOCUMENTS = 400  # judged together
 
 
 def letter_words(text: str) -> Counter:
@@ -60,9 +61,11 @@ def language_profiles(docs: DataFrame, size: int = PROFILE) -> DataFrame:
 
     def build(batch: pa.RecordBatch) -> dict:
         words: dict[str, Counter] = defaultdict(Counter)
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            words[lang].update(letter_words(text))
-        rows = [(lang, g, n) for lang, c in words.items() for g, n in gram_counts(c).items()]
+        for at in range(0, batch.num_rows, DOCUMENTS):
+            some = batch.slice(at, DOCUMENTS)
+            for lang, text in zip(some.column("lang").to_pylist(), some.column("text").to_pylist(), strict=True):
+                words[lang].update(letter_words(text))
+        rows = [(lang, g, n) for lang in list(words) for g, n in gram_counts(words.pop(lang)).items()]
         langs, grams, times = zip(*rows, strict=True) if rows else ((), (), ())
         return {"lang": pa.array(langs, pa.string()), "gram": pa.array(grams, pa.string()), "times": pa.array(times, pa.int64())}
 
@@ -79,14 +82,14 @@ def predict_languages(docs: DataFrame, profiles: dict[str, dict[str, int]], size
     to the first language by name. A text that is null or has no letter is ``und`` with score 0,
     and so is every text where there is no profile.
 
-    The n-grams of a batch are numbered by code point and every distinct word of the batch is
-    taken apart once; a document's counts are then sums over its words' numbers.
+    The n-grams of some hundred documents are numbered by code point and each of their distinct
+    words is taken apart once; a document's counts are then sums over its words' numbers.
     """
     langs = sorted(profiles)
 
-    def build(batch: pa.RecordBatch) -> dict:
+    def judge(batch: list[str | None]) -> tuple[list[str], list[float]]:
         names: dict[str, int] = {}
-        texts = [letter_words(t or "") for t in batch.column("text").to_pylist()]
+        texts = [letter_words(t or "") for t in batch]
         words = [np.array([names.setdefault(w, len(names)) for w in c], np.int64) for c in texts]
         taken_apart = [grams_of(w) for w in names]
         grams = sorted({g for x in taken_apart for g in x})
@@ -115,6 +118,14 @@ def predict_languages(docs: DataFrame, profiles: dict[str, dict[str, int]], size
             best = int(far.argmin())
             found.append(langs[best])
             scores.append(1 - far[best] / (size * len(own)))
+        return found, scores
+
+    def build(batch: pa.RecordBatch) -> dict:
+        found, scores = [], []
+        for at in range(0, batch.num_rows, DOCUMENTS):
+            some, theirs = judge(batch.column("text").slice(at, DOCUMENTS).to_pylist())
+            found += some
+            scores += theirs
         return {"doc_id": batch.column("doc_id"), "lang_pred": pa.array(found, pa.string()), "score": pa.array(scores, pa.float64())}
 
     kind = docs.schema["doc_id"].dataType.simpleString()

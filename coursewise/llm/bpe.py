@@ -26,6 +26,10 @@ from coursewise.llm.common import map_texts
 #: Fixed value: the word pattern of byte-level BPE tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: Characters that this pattern and the tokenizers library are known to class alike. Their Unicode
+#: versions differ in newer letters, so a text with other characters is split by the library.
+KNOWN = r"[\u0000-\u0529\u2010-\u2070\u20a0-\u20bf\u2190-\u21ff\u3040-\u3096\u30a1-\u30fa\u4e00-\u9fd5\uac00-\ud7a3]*+"
+
 
 def read_tokenizer(path: str) -> str:
     """The tokenizer's JSON, read on the driver and sent with the job."""
@@ -54,7 +58,8 @@ class Coder:
             raise ValueError("only plain byte-level tokenizers are supported")
         self.special = {t["content"]: t["id"] for t in added}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if added else None
-        self.words = regex.compile(PATTERN).findall
+        self.pattern = regex.compile(PATTERN).findall
+        self.known = regex.compile(KNOWN).fullmatch
         self.model = Tokenizer.from_str(source)
         self.model.no_truncation()
         self.model.no_padding()
@@ -64,6 +69,11 @@ class Coder:
         for content, i in self.special.items():
             self.pieces[i] = content.encode()
 
+    def words(self, text: str) -> list[str]:
+        if text.isascii() or self.known(text):
+            return self.pattern(text)
+        return [text[s:e] for _, (s, e) in self.model.pre_tokenizer.pre_tokenize_str(text)]
+
     def split(self, text: str) -> list[str]:
         if self.cut is None or not any(s in text for s in self.special):
             return self.words(text)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from coursewise.functions.scores import HYBRID_WEIGHTS, hybrid_score
+from coursewise.functions.scores import HYBRID_WEIGHTS, check_weights, hybrid_score
 from coursewise.operators.baseline_random import random_score
 from coursewise.operators.collaborative import raw_collaborative
 from coursewise.operators.content import raw_content
@@ -76,6 +76,7 @@ def score_table(
 
     A recommender that does not propose a resource has null there; the hybrid counts it as 0.
     """
+    check_weights(**weights)
     wide = side_by_side(
         source_scores(interactions, resources, profiles, scope), [*scope, "id_student", *ITEM]
     )

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from coursewise.functions.scores import seeded_uniform
 from coursewise.operators.ranks import exact_quantiles
 from coursewise.schemas import COURSE
+from coursewise.sources.staging import staged
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -34,21 +36,15 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def crosstab_shares(df: DataFrame, rows: str, columns: str) -> DataFrame:
     """Row-wise shares in long form with a row for every pair of observed values.
 
-    The column values become pivot columns, whose number Spark checks against
-    ``spark.sql.pivotMaxValues``.
+    The pairs are the result, so the two lists of distinct values are crossed as rows; no value
+    becomes a column and none goes to the driver.
     """
-    wide = (
-        df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-        .groupBy(rows)
-        .pivot(columns)
-        .count()
-        .fillna(0)
-    )
-    return (
-        wide.unpivot([rows], [c for c in wide.columns if c != rows], columns, "n")
-        .withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(rows)))
-        .drop("n")
-    )
+    known = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    counts = staged(known.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n")), "crosstab")
+    totals = counts.groupBy(rows).agg(F.sum("n").alias("total"))
+    pairs = totals.crossJoin(counts.select(columns).distinct())
+    share = F.coalesce("n", F.lit(0)) / F.col("total")
+    return pairs.join(counts, [rows, columns], "left").select(rows, columns, share.alias("share"))
 
 
 def per_learner(df: DataFrame, measure, name: str) -> DataFrame:
@@ -167,6 +163,6 @@ def average_click_duration(interactions: DataFrame) -> DataFrame:
     )
 
 
-def row_sample(df: DataFrame, n: int = 5, seed: int = 10) -> DataFrame:
-    """``n`` rows drawn without replacement: a distributed top-n of random draws."""
-    return df.withColumn("draw", F.rand(seed)).orderBy("draw").limit(n).drop("draw")
+def row_sample(df: DataFrame, keys: Sequence[str], n: int = 5, seed: int = 10) -> DataFrame:
+    """``n`` rows drawn without replacement: a distributed top-n of draws seeded by the keys."""
+    return df.withColumn("draw", seeded_uniform(seed, *keys)).orderBy("draw", *keys).limit(n).drop("draw")

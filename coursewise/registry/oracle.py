@@ -252,7 +252,7 @@ stacked AS (
   SELECT * EXCLUDE (popularity_score), popularity_score AS p, NULL AS c, NULL AS n FROM pop
   UNION ALL BY NAME SELECT * EXCLUDE (content_score), content_score AS c FROM content
   UNION ALL BY NAME SELECT * EXCLUDE (collaborative_score), collaborative_score AS n FROM collab),
-hybrid AS (
+hybrid AS MATERIALIZED (
   SELECT fold, id_student, id_site, code_module, code_presentation, activity_type,
          coalesce(max(p), 0) AS popularity_score, coalesce(max(c), 0) AS content_score,
          coalesce(max(n), 0) AS collaborative_score,
@@ -269,7 +269,7 @@ ranked AS MATERIALIZED (
   SELECT *, row_number() OVER (PARTITION BY fold, recommender, id_student, code_module, code_presentation
                                ORDER BY round(score, 9) DESC, id_site) AS position
   FROM lists),
-best AS (SELECT * FROM ranked WHERE position <= 20),
+best AS MATERIALIZED (SELECT * FROM ranked WHERE position <= 20),
 relevant AS MATERIALIZED (
   SELECT * FROM fut ANTI JOIN (SELECT DISTINCT fold, id_student, code_module, code_presentation, id_site FROM hist) h
   USING (fold, id_student, code_module, code_presentation, id_site)),
@@ -462,7 +462,7 @@ FROM v JOIN documents USING (doc_id) JOIN centre USING (lang, term) GROUP BY ALL
         "SELECT course_set, site AS id_site, round(sum(cosine) - 1, 6) AS total_similarity FROM resource_pairs GROUP BY ALL")
     q["explanations"] = _scored(f"""
 SELECT {LC}, id_site, position,
-       CASE WHEN 0.4 * popularity_score >= 0.2 * content_score AND popularity_score >= collaborative_score
+       CASE WHEN 0.4 * popularity_score >= 0.2 * content_score AND 0.4 * popularity_score >= 0.4 * collaborative_score
             THEN 'This resource was recommended because it is frequently used by other students'
             WHEN 0.2 * content_score >= 0.4 * collaborative_score
             THEN 'This resource was recommended because it is similar to other interacted-with resources'
@@ -563,6 +563,10 @@ SELECT {LC}, 'hybrid' AS recommender, n_relevant, hits, {_r('precision', 'recall
         ))
     q["value_counts"] = _prepared(
         f"SELECT table_name, \"column\", value, n, round(n / sum(n) OVER (PARTITION BY table_name, \"column\")::DOUBLE, 6) AS share FROM ({counted})")
+    q["row_sample"] = _prepared("""
+SELECT * FROM student_data
+ORDER BY substr(md5('10:' || id_student || ':' || code_module || ':' || code_presentation), 1, 8), id_student, code_module, code_presentation
+LIMIT 5""")
     q["crosstab_normalized"] = _prepared("""
 SELECT m.code_module, a.activity_type,
        round(count(r.id_site) / (sum(count(r.id_site)) OVER (PARTITION BY m.code_module))::DOUBLE, 6) AS share

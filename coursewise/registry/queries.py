@@ -587,7 +587,7 @@ def ranker_metrics(spark, sf_dir):
 def ranker_cv(spark, sf_dir):
     """Days start at 1 in the given tables, so the first training cutoff has to lie after it."""
     return run_ml_cross_validation(
-        tables_of(spark, sf_dir), (120, 180, 240), 60, K, forest={"numTrees": 20}
+        tables_of(spark, sf_dir), (120, 180, 240), 60, K
     )[0]
 
 
@@ -723,7 +723,7 @@ def learner_count(spark, sf_dir):
 
 
 def row_sample(spark, sf_dir):
-    return profile.row_sample(tables_of(spark, sf_dir).student_data)
+    return profile.row_sample(tables_of(spark, sf_dir).student_data, LEARNER_COURSE)
 
 
 def registered() -> dict[str, Query]:

@@ -21,7 +21,7 @@ SIZES = (1, 2, 3)
 PROFILE = 400
 RUN = re.compile(r"[^\W\d_]+")
 UNDECIDED = "und"
-DOCUMENTS = 400  # judged together
+DOCUMENTS = 2000  # judged together
 
 
 def letter_words(text: str) -> Counter:
@@ -82,7 +82,7 @@ def predict_languages(docs: DataFrame, profiles: dict[str, dict[str, int]], size
     to the first language by name. A text that is null or has no letter is ``und`` with score 0,
     and so is every text where there is no profile.
 
-    The n-grams of some hundred documents are numbered by code point and each of their distinct
+    The n-grams of some thousand documents are numbered by code point and each of their distinct
     words is taken apart once; a document's counts are then sums over its words' numbers.
     """
     langs = sorted(profiles)

@@ -195,7 +195,8 @@ def links(prints: DataFrame) -> DataFrame:
     )
     own = lambda n: F.pmod(F.xxhash64("bits"), F.col(n)).cast("int")
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    both = rows.join(cut, ["tree", "shard"])
+    # as many rows as the four trees have leaves at most, which doesn't grow with the data
+    both = rows.join(F.broadcast(cut), ["tree", "shard"])
     residents = both.where("not guest").select("tree", "shard", "bits", F.lit(True).alias("resident"), own("r").alias("x"), F.explode(span("o")).alias("y"))
     others = both.select("tree", "shard", "bits", F.lit(False).alias("resident"), F.explode(span("r")).alias("x"), own("o").alias("y"))
     key = ["tree", "shard", "x", "y"]

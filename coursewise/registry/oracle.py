@@ -15,7 +15,7 @@ clicks AS (
               + (year(l_shipdate) % 2) * 10000 + CAST(substr(p_brand, 7) AS INT) * 100
               + (CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
                  WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 ELSE 6 END) AS BIGINT) AS id_site,
-         CAST(dayofyear(l_shipdate) AS INT) AS date, CAST(l_quantity AS INT) AS sum_click,
+         CAST(dayofyear(l_shipdate) - 25 AS INT) AS date, CAST(l_quantity AS INT) AS sum_click,
          lower(p_type) AS activity_type
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey),
@@ -513,17 +513,26 @@ SELECT recommender, {_r('precision', 'recall', 'f1')} FROM (
     q["generate_candidates"] = _scored(
         f"SELECT {LC}, id_site, {_r('popularity_score', 'collaborative_score', 'content_score')}, activity_type, resource_text FROM candidates",
         extra=CANDIDATES)
-    q["ml_dataset"] = _ml(
-        f"SELECT {LC}, id_site, activity_type, resource_text, target, {PERSON}, {_rounded_list(', '.join(NUMERIC[:3]) + ', ' + FEATURES)} FROM ml_dataset")
+    ml_columns = (
+        f"{LC}, id_site, activity_type, resource_text, target, {PERSON}, "
+        f"{_rounded_list(', '.join(NUMERIC[:3]) + ', ' + FEATURES)}")
+    q["ml_dataset"] = _ml(f"SELECT {ml_columns} FROM ml_dataset")
     q["model_input"] = _ml(
         "SELECT target, resource_text, gender, region, highest_education, imd_band, age_band, CAST(disability AS VARCHAR) AS disability, "
         + ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in NUMERIC) + " FROM ml_dataset")
-    q["stratified_sample_counts"] = _ml("""
+    quotas = """
 , n AS (SELECT target, count(*) AS class_rows FROM ml_dataset GROUP BY target),
 e AS (SELECT target, 10000.0 * class_rows / sum(class_rows) OVER () AS exact FROM n),
 f AS (SELECT target, floor(exact) AS base, row_number() OVER (ORDER BY exact - floor(exact) DESC, target) AS place,
-             10000 - sum(floor(exact)) OVER () AS missing FROM e)
-SELECT target, CAST(base + CASE WHEN place <= missing THEN 1 ELSE 0 END AS BIGINT) AS n FROM f""")
+             10000 - sum(floor(exact)) OVER () AS missing FROM e),
+quotas AS (SELECT target, CAST(base + CASE WHEN place <= missing THEN 1 ELSE 0 END AS BIGINT) AS n FROM f)"""
+    q["stratified_sample_counts"] = _ml(quotas + " SELECT target, n FROM quotas")
+    q["stratified_sample"] = _ml(quotas + f"""
+, drawn AS (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY
+    substr(md5('10:' || id_student || ':' || code_module || ':' || code_presentation || ':' || id_site), 1, 8), {LC}, id_site) AS place
+  FROM ml_dataset)
+SELECT {ml_columns} FROM drawn JOIN quotas USING (target) WHERE place <= n""")
     q["numeric_scaling"] = _ml(f"""
 , melted AS ({_melted('ml_dataset', NUMERIC, 'DOUBLE')}),
 filled AS (SELECT "column", coalesce(value, median(value) OVER (PARTITION BY "column")) AS value,

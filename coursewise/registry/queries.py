@@ -108,9 +108,8 @@ def tables_of(spark: SparkSession, sf_dir: str) -> CourseTables:
     return prepare(raw_tables(spark, sf_dir))
 
 
-def split_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def split_of(tables: CourseTables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Staged history, future and catalogue at the test cutoff."""
-    tables = tables_of(spark, sf_dir)
     history, future = temporal_split(tables.vle_data, CUTOFF)
     return (
         staged(history, "history"),
@@ -398,25 +397,25 @@ def resource_similarity(spark, sf_dir):
 
 
 def evaluated(spark, sf_dir):
-    history, future, _ = split_of(spark, sf_dir)
+    history, future, _ = split_of(tables_of(spark, sf_dir))
     return evaluated_learner_courses(history, future)
 
 
 def relevant(spark, sf_dir):
-    history, future, _ = split_of(spark, sf_dir)
+    history, future, _ = split_of(tables_of(spark, sf_dir))
     return relevant_items(history, future)
 
 
 def hits_at_k(spark, sf_dir):
     return (
-        evaluate_recommenders(*split_of(spark, sf_dir), K)
+        evaluate_recommenders(*split_of(tables_of(spark, sf_dir)), K)
         .where(F.col("hits") > 0)
         .select(*LEARNER_COURSE, "recommender", "hits")
     )
 
 
 def metrics_at_k(spark, sf_dir):
-    history, future, _ = split_of(spark, sf_dir)
+    history, future, _ = split_of(tables_of(spark, sf_dir))
     items = relevant_items(history, future)
     spine = (
         items.groupBy(*LEARNER_COURSE)
@@ -430,15 +429,15 @@ def metrics_at_k(spark, sf_dir):
 
 
 def evaluate_baselines(spark, sf_dir):
-    return rounded(evaluate_recommenders(*split_of(spark, sf_dir), K))
+    return rounded(evaluate_recommenders(*split_of(tables_of(spark, sf_dir)), K))
 
 
 def evaluation_summary(spark, sf_dir):
-    return rounded(summarise(evaluate_recommenders(*split_of(spark, sf_dir), K)))
+    return rounded(summarise(evaluate_recommenders(*split_of(tables_of(spark, sf_dir)), K)))
 
 
 def evaluate_single_learner(spark, sf_dir):
-    return rounded(evaluate_recommenders(*split_of(spark, sf_dir), K, grain=["id_student"]))
+    return rounded(evaluate_recommenders(*split_of(tables_of(spark, sf_dir)), K, grain=["id_student"]))
 
 
 def _cross_validation(spark, sf_dir) -> DataFrame:
@@ -456,7 +455,7 @@ def cv_summary(spark, sf_dir):
 
 def summary_upsert(spark, sf_dir):
     """The summary with the random recommender's row replaced."""
-    summary = staged(summarise(evaluate_recommenders(*split_of(spark, sf_dir), K)), "summary")
+    summary = staged(summarise(evaluate_recommenders(*split_of(tables_of(spark, sf_dir)), K)), "summary")
     reset = summary.where(F.col("recommender") == "random").select(
         "recommender", *[(F.col(m) * 0).alias(m) for m in METRICS]
     )
@@ -464,7 +463,7 @@ def summary_upsert(spark, sf_dir):
 
 
 def model_comparison(spark, sf_dir):
-    summary = staged(summarise(evaluate_recommenders(*split_of(spark, sf_dir), K)), "summary")
+    summary = staged(summarise(evaluate_recommenders(*split_of(tables_of(spark, sf_dir)), K)), "summary")
     named = {name: summary.where(F.col("recommender") == name) for name in ("popularity", "random")}
     return rounded(compare_models(named))
 
@@ -473,33 +472,34 @@ def model_comparison(spark, sf_dir):
 
 
 def candidates(spark, sf_dir):
-    history, _, resources = split_of(spark, sf_dir)
+    history, _, resources = split_of(tables_of(spark, sf_dir))
     return rounded(generate_candidates(history, resources, K))
 
 
 def _test_dataset(spark, sf_dir) -> DataFrame:
     tables = tables_of(spark, sf_dir)
-    history, future, resources = split_of(spark, sf_dir)
+    history, future, resources = split_of(tables)
     return create_ml_dataset(
         history, future, resources, features.student_features(tables, CUTOFF), K
     )
 
 
+ML_COLUMNS = [
+    *LEARNER_COURSE,
+    "id_site",
+    "activity_type",
+    "resource_text",
+    "target",
+    *PERSON,
+    *SCORE_COLUMNS,
+    *ASSESSMENT_FEATURES,
+    *VLE_FEATURES,
+    "days_registered",
+]
+
+
 def ml_dataset(spark, sf_dir):
-    return rounded(
-        _test_dataset(spark, sf_dir).select(
-            *LEARNER_COURSE,
-            "id_site",
-            "activity_type",
-            "resource_text",
-            "target",
-            *PERSON,
-            *SCORE_COLUMNS,
-            *ASSESSMENT_FEATURES,
-            *VLE_FEATURES,
-            "days_registered",
-        )
-    )
+    return rounded(_test_dataset(spark, sf_dir).select(*ML_COLUMNS))
 
 
 def ranker_input(spark, sf_dir):
@@ -507,7 +507,8 @@ def ranker_input(spark, sf_dir):
 
 
 def stratified_sample(spark, sf_dir):
-    return sample_training_data(staged(_test_dataset(spark, sf_dir), "dataset"), SAMPLE)
+    sample = sample_training_data(staged(_test_dataset(spark, sf_dir), "dataset"), SAMPLE)
+    return rounded(sample.select(*ML_COLUMNS))
 
 
 def stratified_sample_counts(spark, sf_dir):
@@ -525,7 +526,7 @@ def categories(spark, sf_dir):
 def _stand_in(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Candidates scored by the fixed hybrid in the ranker's place."""
     tables = tables_of(spark, sf_dir)
-    history, future, resources = split_of(spark, sf_dir)
+    history, future, resources = split_of(tables)
     dataset = create_ml_dataset(
         history, future, resources, features.student_features(tables, CUTOFF), K
     )
@@ -579,16 +580,13 @@ def svc_scores(spark, sf_dir):
 
 
 def ranker_metrics(spark, sf_dir):
-    history, future, _ = split_of(spark, sf_dir)
+    history, future, _ = split_of(tables_of(spark, sf_dir))
     scored = staged(rf_scores(spark, sf_dir), "scored")
     return evaluate_scored(scored, history, future, "random_forest", K)
 
 
 def ranker_cv(spark, sf_dir):
-    """Days start at 1 in the given tables, so the first training cutoff has to lie after it."""
-    return run_ml_cross_validation(
-        tables_of(spark, sf_dir), (120, 180, 240), 60, K
-    )[0]
+    return run_ml_cross_validation(tables_of(spark, sf_dir), (60, 120, 180), 60, K)[0]
 
 
 def _recommendations(spark, sf_dir) -> DataFrame:
@@ -637,27 +635,29 @@ def crosstab_normalized(spark, sf_dir):
     return rounded(profile.crosstab_shares(resources, "code_module", "activity_type"))
 
 
+def _assessments_per_learner(tables: CourseTables) -> DataFrame:
+    return profile.per_learner(tables.assessment_data, F.count("id_assessment"), "n_assessments")
+
+
+def _clicks_per_learner(tables: CourseTables) -> DataFrame:
+    return profile.per_learner(tables.interaction_data, F.sum("total_resource_clicks"), "clicks")
+
+
 def assessments_per_learner(spark, sf_dir):
-    return profile.per_learner(
-        tables_of(spark, sf_dir).assessment_data, F.count("id_assessment"), "n_assessments"
-    )
+    return _assessments_per_learner(tables_of(spark, sf_dir))
 
 
 def clicks_per_learner(spark, sf_dir):
-    return profile.per_learner(
-        tables_of(spark, sf_dir).interaction_data, F.sum("total_resource_clicks"), "clicks"
-    )
+    return _clicks_per_learner(tables_of(spark, sf_dir))
 
 
 def histogram(spark, sf_dir):
+    tables = tables_of(spark, sf_dir)
     sources = {
-        "average_score": (tables_of(spark, sf_dir).assessment_data, "average_score"),
-        "assessments_per_learner": (assessments_per_learner(spark, sf_dir), "n_assessments"),
-        "module_presentation_length": (
-            tables_of(spark, sf_dir).vle_data,
-            "module_presentation_length",
-        ),
-        "clicks_per_learner": (clicks_per_learner(spark, sf_dir), "clicks"),
+        "average_score": (tables.assessment_data, "average_score"),
+        "assessments_per_learner": (_assessments_per_learner(tables), "n_assessments"),
+        "module_presentation_length": (tables.vle_data, "module_presentation_length"),
+        "clicks_per_learner": (_clicks_per_learner(tables), "clicks"),
     }
     out = None
     for name, (df, column) in sources.items():

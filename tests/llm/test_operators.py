@@ -171,7 +171,9 @@ def test_simhash(docs):
     assert kept.columns == docs.columns and kept.count() == len({r.component_id for r in rows})
 
 
-def test_simhash_links_all_components(spark):
+@pytest.mark.parametrize("block", (4096, 3))
+def test_simhash_links_all_components(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)
     values = list(base)

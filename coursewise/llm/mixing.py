@@ -85,14 +85,18 @@ def source_targets(
     )
 
 
-def mix_sizes(sizes: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS, **settings) -> DataFrame:
-    """Rows (doc_id, source, size) with source_size, target and copies.
+def draw_of(seed: int) -> Column:
+    """The seeded draw of a document, the same for rows that repeat its id."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
+def mix_plan(sizes: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS, **settings) -> DataFrame:
+    """One staged row per source: what decides how often each of its documents is taken.
 
-    Null sources form one source. Documents without words get no repetition. Rows that repeat a
-    document id share its draw and its copies. An empty table gives an empty result.
+    Null sources form one source. An empty table gives an empty plan.
     """
-    draw = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = sizes.select("doc_id", "source", "size", draw.alias("draw"), F.substring(draw, 1, 3).alias("bucket"))
+    draw = draw_of(seed)
+    rows = sizes.select("source", "size", draw.alias("draw"), F.substring(draw, 1, 3).alias("bucket"))
     targets = source_targets(sizes, max_epochs=max_epochs, **settings)
     ratio = F.col("target") / F.when(F.col("source_size") > 0, F.col("source_size"))
     whole = F.coalesce(F.least(F.floor(ratio), F.lit(max_epochs)), F.lit(0))
@@ -133,21 +137,45 @@ def mix_sizes(sizes: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS,
         ),
         "mix-plan",
     )
-    joined = rows.alias("r").join(plan.alias("p"), same("r", "p")).select(
-        "r.doc_id", "r.source", "r.size", "draw", "p.source_size", "target", "whole", "end", "missing"
-    )
     gap = F.abs(F.col("size") - F.col("missing"))
     spare = (F.col("draw") >= F.col("end")) & (F.col("size") > 0) & (gap < F.col("missing"))
-    fill = staged(joined.where(spare).groupBy("source").agg(F.min(F.struct(gap.alias("gap"), "draw")).alias("fill")).select("source", "fill.draw"), "mix-fill")
-    extra = F.coalesce(F.col("j.draw") < F.col("end"), F.col("due_all")) | F.coalesce(F.col("j.draw") == F.col("f.draw"), F.lit(False))
-    copies = F.when(F.col("size") > 0, F.least(F.col("whole") + extra.cast("int"), F.lit(max_epochs))).otherwise(F.lit(0))
+    fill = (
+        rows.alias("r").join(plan.alias("p"), same("r", "p")).where(spare)
+        .groupBy("r.source")
+        .agg(F.min(F.struct(gap.alias("gap"), "draw")).alias("fill"))
+        .select("source", F.col("fill.draw").alias("fill"))
+    )
     # a source whose fraction never ends is due as a whole
-    all_due = joined.withColumn("due_all", F.col("end").isNull() & (F.col("target") > F.col("whole") * F.col("source_size")))
-    return all_due.alias("j").join(fill.alias("f"), same("j", "f"), "left").select(
-        "doc_id", "j.source", "size", "source_size", "target", copies.cast("int").alias("copies")
+    all_due = F.col("end").isNull() & (F.col("target") > F.col("whole") * F.col("source_size"))
+    return staged(
+        plan.alias("p").join(fill.alias("f"), same("p", "f"), "left").select(
+            "p.source", "source_size", "target", "whole", "end", "fill", all_due.alias("all_due")
+        ),
+        "mix-plan",
+    )
+
+
+def with_copies(rows: DataFrame, plan: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """Rows with doc_id, source and size, with source_size, target and copies of ``mix_plan``.
+
+    The plan has a row per source. Spark broadcasts it where it measures below the session's
+    threshold, so no row is shuffled; beyond, it merges by source and splits the hot ones.
+    Documents without words get no repetition. Rows that repeat an id share its draw.
+    """
+    keyed = rows.withColumn("draw", draw_of(seed))
+    extra = F.coalesce(F.col("draw") < F.col("end"), "all_due") | F.coalesce(F.col("draw") == F.col("fill"), F.lit(False))
+    copies = F.when(F.col("size") > 0, F.least(F.col("whole") + extra.cast("int"), F.lit(max_epochs))).otherwise(F.lit(0))
+    match = F.col("r.source").eqNullSafe(F.col("p.source"))
+    return keyed.alias("r").join(plan.alias("p"), match).select(
+        *[f"r.{c}" for c in rows.columns], "source_size", "target", copies.cast("int").alias("copies")
     )
 
 
+def mix_sizes(sizes: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS, **settings) -> DataFrame:
+    """Rows (doc_id, source, size) with source_size, target and copies."""
+    return with_copies(sizes, mix_plan(sizes, seed, max_epochs, **settings), seed, max_epochs)
+
+
 def mix_table(docs: DataFrame, **settings) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
     sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
@@ -155,24 +183,16 @@ def mix_table(docs: DataFrame, **settings) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-def mix_documents(docs: DataFrame, **settings) -> DataFrame:
+def mix_documents(docs: DataFrame, seed: int = SEED, max_epochs: int = MAX_EPOCHS, **settings) -> DataFrame:
     """The documents repeated as the mix takes them, in the columns they came with.
 
-    Repeated rows of one document id share its copies, so the plan is joined by distinct id.
+    A document's copies follow from its id, its source and its size, so texts meet the plan of
+    the sources alone and are not shuffled by document.
     """
-    sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
-    plan = (
-        mix_sizes(sizes, **settings)
-        .where("copies > 0")
-        .groupBy("doc_id", "source", "size")
-        .agg(F.max("copies").alias("copies"))
-    )
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).select(
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    keyed = docs.select(row).select(
         "row", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), word_count(F.col("row.text")).alias("size")
     )
-    match = F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("d.size") == F.col("p.size"))
-    return (
-        keyed.alias("d").join(plan.alias("p"), match)
-        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-        .select("row.*")
-    )
+    plan = mix_plan(staged(keyed.select("doc_id", "source", "size"), "mix-sizes"), seed, max_epochs, **settings)
+    taken = with_copies(keyed, plan, seed, max_epochs).where("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")

@@ -36,6 +36,8 @@ PART_RADIUS = (1, 0, 0, 0)  # see above: enough for RADIUS = 4 over four parts
 LEAF_VALUES = 16
 BLOCK = 4096
 SEED = 42
+#: What a row is to its group: of its first resident block, of its second, or a guest.
+FIRST, SECOND, GUEST = 0, 1, 2
 
 
 def fingerprint(text: bytes) -> int:
@@ -156,7 +158,8 @@ def spanning_links(residents: np.ndarray, others: np.ndarray) -> tuple[np.ndarra
     """A spanning forest of the links between residents and others, found by exact distances."""
     residents, others = residents.view(np.uint64), others.view(np.uint64)
     nodes, place = np.unique(np.concatenate([residents, others]), return_inverse=True)
-    root = np.arange(len(nodes))
+    root = list(range(len(nodes)))
+    flat = np.arange(len(nodes))  # the same with every path at its end, for whole arrays of pairs
     mine, theirs = place[: len(residents)], place[len(residents) :]
     a, b = [], []
 
@@ -168,13 +171,20 @@ def spanning_links(residents: np.ndarray, others: np.ndarray) -> tuple[np.ndarra
 
     step = max(1, (1 << 22) // max(1, len(others)))
     for at in range(0, len(residents), step):
-        near = np.bitwise_count(residents[at : at + step, None] ^ others[None, :]) <= RADIUS
-        for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
-            x, y = find(mine[at + i]), find(theirs[j])
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                a.append(nodes[mine[at + i]])
-                b.append(nodes[theirs[j]])
+        rows, columns = np.nonzero(np.bitwise_count(residents[at : at + step, None] ^ others[None, :]) <= RADIUS)
+        rows, columns = mine[at + rows], theirs[columns]
+        for s in range(0, len(rows), BLOCK):
+            x, y = rows[s : s + BLOCK], columns[s : s + BLOCK]
+            apart = flat[x] != flat[y]  # a pair already connected needs no link, nor does a row with itself
+            if not apart.any():
+                continue
+            for p, q in zip(x[apart].tolist(), y[apart].tolist(), strict=True):
+                u, v = find(p), find(q)
+                if u != v:
+                    root[max(u, v)] = min(u, v)
+                    a.append(nodes[p])
+                    b.append(nodes[q])
+            flat = np.array([find(n) for n in range(len(nodes))])
     return np.array(a, np.uint64).view(np.int64), np.array(b, np.uint64).view(np.int64)
 
 
@@ -187,20 +197,30 @@ def links(prints: DataFrame) -> DataFrame:
     spark = prints.sparkSession
     rows = staged(routed(prints), "shards")
     sizes = rows.groupBy("tree", "shard").agg(
-        F.sum((~F.col("guest")).cast("long")).alias("residents"), F.count(F.lit(1)).alias("all")
+        F.sum((~F.col("guest")).cast("long")).alias("residents"), F.sum(F.col("guest").cast("long")).alias("guests")
     )
     # shards with one row, or without a resident, have nothing to compare
-    cut = sizes.where("residents > 0 and `all` > 1").select(
-        "tree", "shard", F.ceil(F.col("residents") / BLOCK).cast("int").alias("r"), F.ceil(F.col("all") / BLOCK).cast("int").alias("o")
+    cut = sizes.where("residents > 0 and residents + guests > 1").select(
+        "tree", "shard", F.ceil(F.col("residents") / BLOCK).cast("int").alias("r"), F.ceil(F.col("guests") / BLOCK).cast("int").alias("g")
     )
-    own = lambda n: F.pmod(F.xxhash64("bits"), F.col(n)).cast("int")
-    span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # as many rows as the four trees have leaves at most, which doesn't grow with the data
     both = rows.join(F.broadcast(cut), ["tree", "shard"])
-    residents = both.where("not guest").select("tree", "shard", "bits", F.lit(True).alias("resident"), own("r").alias("x"), F.explode(span("o")).alias("y"))
-    others = both.select("tree", "shard", "bits", F.lit(False).alias("resident"), F.explode(span("r")).alias("x"), own("o").alias("y"))
+    # Groups: (x, y) with x <= y holds resident blocks x and y, and (x, -1 - z) resident block x
+    # and guest block z. The guests of a shard with one block of them visit the groups (x, x).
+    own = lambda n: F.pmod(F.xxhash64("bits"), F.col(n)).cast("int")
+    up_to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    group = lambda x, y, side: F.struct(x.alias("x"), y.alias("y"), side.alias("side"))
+    home, first, second, guest = F.col("own"), F.lit(FIRST), F.lit(SECOND), F.lit(GUEST)
+    among = F.transform(up_to("r"), lambda c: group(F.least(home, c), F.greatest(home, c), F.when(home <= c, first).otherwise(second)))
+    with_guests = F.when(F.col("g") > 1, F.transform(up_to("g"), lambda z: group(home, -1 - z, first)))
+    visits = F.transform(up_to("r"), lambda x: group(x, F.when(F.col("g") > 1, -1 - home).otherwise(x), guest))
+    dealt = (
+        both.withColumn("own", F.when(F.col("guest"), own("g")).otherwise(own("r")))
+        .withColumn("at", F.when(F.col("guest"), visits).when(F.col("g") > 1, F.concat(among, with_guests)).otherwise(among))
+        .select("tree", "shard", "bits", F.explode("at").alias("at"))
+        .select("tree", "shard", "at.x", "at.y", "bits", "at.side")
+    )
     key = ["tree", "shard", "x", "y"]
-    dealt = residents.unionByName(others)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grouped = dealt.repartition(parts, *key).sortWithinPartitions(*key)
 
@@ -212,12 +232,13 @@ def links(prints: DataFrame) -> DataFrame:
             starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)])
             ends = np.r_[starts[1:], table.num_rows]
             last = len(starts) if whole else len(starts) - 1
-            bits, resident = (np.ascontiguousarray(table.column(c).to_numpy()) for c in ("bits", "resident"))
+            bits, side = (np.ascontiguousarray(table.column(c).to_numpy()) for c in ("bits", "side"))
             a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for s, e in zip(starts[:last], ends[:last], strict=True):
-                r = resident[s:e]
-                if e - s > 1 and r.any() and not r.all():
-                    x, y = spanning_links(bits[s:e][r], bits[s:e][~r])
+                first = side[s:e] == FIRST
+                others = slice(None) if keys[2, s] == keys[3, s] else ~first
+                if e - s > 1 and first.any():
+                    x, y = spanning_links(bits[s:e][first], bits[s:e][others])
                     a.append(x)
                     b.append(y)
             out = pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
@@ -227,8 +248,8 @@ def links(prints: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            first, final = ([x.column(k)[i].as_py() for k in key] for x, i in ((held[0], 0), (batch, batch.num_rows - 1)))
-            if first != final:
+            start, final = ([x.column(k)[i].as_py() for k in key] for x, i in ((held[0], 0), (batch, batch.num_rows - 1)))
+            if start != final:
                 out, rest = flushed(pa.Table.from_batches(held), False)
                 yield from out
                 held = rest.to_batches()

@@ -318,4 +318,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
     first = prints.groupBy("bits").agg(F.min(rank).alias("first")).join(roots, "bits")
     kept = staged(first.groupBy("root").agg(F.min("first").alias("first")).select("first.row_id"), "kept")
-    return numbered.join(kept, "row_id", "left_semi").select("doc.*")
+    # merged at every size: the list of rows that stay grows with the documents
+    return numbered.join(kept.hint("merge"), "row_id", "left_semi").select("doc.*")

@@ -33,7 +33,7 @@ PATTERNS = {
 }
 TRIGGERS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": r"\+[0-9]"}
 LOOSE_TRIGGER = r"[0-9][0-9]|AKIA|[(\[]at[)\]]|passw|token|secret|api_key"
-IP_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 #: What the method may add: kind and shape. The shapes are tried in this order at each place.
 LOOSE = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{2,63})++",

@@ -257,6 +257,16 @@ def test_pii(docs):
     assert clean[3].text is None and clean[1].text == EN * 8
 
 
+def test_pii_addresses_with_zero_parts(spark):
+    text = "10.0.0.1, 192.168.0.1, 0.0.0.0, 001.2.3.4 10.00.1.2 8.8.8.8 but 10.0.0.256 0.0.0.0256 1.2.3.1000"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    held = [m.span() for m in re.finditer(r"[0-9]+(?:\.[0-9]+){3}", text) if all(int(p) <= 255 for p in m.group().split("."))]
+    base = ",".join(f"ip:{s}:{e}" for s, e in held)
+    [row] = pii.pii_table(docs).collect()
+    assert (row.n_ip, row.spans) == (6, base) and row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
+    assert pii.redact_documents(docs).first().text == "[IP], [IP], [IP], [IP] [IP] [IP] but 10.0.0.256 0.0.0.0256 1.2.3.1000"
+
+
 def test_votes_become_reliabilities():
     posterior = pii.estimate({"11-1": 50, "00-0": 50, "10-1": 3, "----": 10})
     assert posterior["11-1"] > 0.9 and posterior["00-0"] < 0.1

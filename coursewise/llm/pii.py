@@ -34,10 +34,12 @@ PATTERNS = {
 TRIGGERS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][\\x20-]?[0-9]", "phone": r"\+[0-9]"}
 LOOSE_TRIGGER = r"[0-9][0-9]|AKIA|[(\[]at[)\]]|passw|token|secret|api_key"
 IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+#: A credential of any length, with inner dots and with padding at the end of its parts.
+_KEY = r"[A-Za-z0-9_+/-](?:[A-Za-z0-9_+/-]|\.(?=[A-Za-z0-9_+/-])|=++(?=[A-Za-z0-9_+/.-])){11,}+=*+"
 #: What the method may add: kind and shape. The shapes are tried in this order at each place.
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{2,63})++",
-    "secret": r"\b(?:AKIA[0-9A-Z]{16}\b|(?:password|passwd|token|api_key|secret)(?: ?[=:] ?)\"?[A-Za-z0-9_+/-]{12,128})",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{2,}+)++",
+    "secret": rf"\b(?:AKIA[0-9A-Z]{{16}}\b|(?:password|passwd|token|api_key|secret)(?: ?[=:] ?)\"?{_KEY})",
     "id": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b|\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}\b",
     "phone": r"(?<![0-9+.])(?:00[1-9][0-9]{0,2}[ -])?\(?[0-9]{3}\)?[ -][0-9]{3}[ -][0-9]{4}(?![0-9])",
 }
@@ -106,14 +108,14 @@ def base_spans(text: Text) -> dict[str, Column]:
 
 
 def kind_of(value: Column) -> Column:
-    case = F.when(value.rlike(rf"^(?:{LOOSE['secret']})$"), "secret").when(value.rlike(r"[a-z].*(?:at[)\]])"), "email")
+    case = F.when(value.rlike(rf"^(?:{LOOSE['secret']})$"), "secret").when(value.rlike(r"^[^a-z]*+[a-z].*(?:at[)\]])"), "email")
     return case.when(value.rlike(rf"^(?:{LOOSE['id']})$"), "id").otherwise("phone")
 
 
 #: Labelers: for each, tests (for, against) on value and the text before. No test: it abstains.
 LABELERS = {
     "shape": (
-        lambda v, b: v.rlike(r"^AKIA|^(?:password|passwd|token|api_key|secret) ?[=:] ?\"?(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,}|@|\(at\)|\[at\]|^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^\(?[2-9][0-9]{2}\)?[ -]"),
+        lambda v, b: v.rlike(r"^AKIA|^(?:password|passwd|token|api_key|secret) ?[=:] ?\"?(?=[A-Za-z_+/.=-]*[0-9])[A-Za-z0-9_+/.=-]{16,}|@|\(at\)|\[at\]|^[0-9]{3}-[0-9]{2}-[0-9]{4}$|^\(?[2-9][0-9]{2}\)?[ -]"),
         lambda v, b: v.rlike(r"^(?:000|666|9[0-9]{2})-|^\(?0{3}|[=:] ?\"?(?:x+|\*+|0+)$"),
     ),
     "gazetteer": (
@@ -125,21 +127,21 @@ LABELERS = {
         lambda v, b: b.rlike(r"(?i)(?:isbn|issn|doi|version|part no|page|pp|figure|order)\W{0,3}$"),
     ),
     "randomness": (
-        # letters and digits that alternate as in no word
-        lambda v, b: v.rlike(r"(?:[0-9][a-fA-F]+[0-9]*){4,}|(?:[A-Z]+[0-9]+){2,}"),
+        # letters and digits that alternate as in no word; possessive, as a value may be of any length
+        lambda v, b: v.rlike(r"[0-9][a-fA-F]++(?:[0-9]++[a-fA-F]++){3}|[A-Z][0-9]++[A-Z]++[0-9]"),
         lambda v, b: v.rlike(r"^[^0-9]*$") & ~v.rlike(r"[@(\[]"),
     ),
 }
 #: Binary features of the final classifier.
 FEATURES = {
     "has_letters": lambda v, b: v.rlike("[A-Za-z]"),
-    "mixed": lambda v, b: v.rlike("(?=.*[0-9])(?=.*[A-Za-z])"),
+    "mixed": lambda v, b: v.rlike("^(?=[^0-9]*+[0-9])(?=[^A-Za-z]*+[A-Za-z])"),
     "long": lambda v, b: F.length(v) >= 20,
     "assigned": lambda v, b: v.rlike("[=:]"),
     "at_sign": lambda v, b: v.rlike(r"at[)\]]"),
     "grouped": lambda v, b: v.rlike("[0-9][ -][0-9]"),
     "after_word": lambda v, b: b.rlike(r"[A-Za-z]\W{1,3}$"),
-    "many_kinds": lambda v, b: v.rlike("(?:[0-9][A-Za-z]+){3,}|^AKIA"),
+    "many_kinds": lambda v, b: v.rlike("(?:[0-9][A-Za-z]++){3}|^AKIA"),
 }
 
 

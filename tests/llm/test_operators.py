@@ -267,6 +267,20 @@ def test_pii_addresses_with_zero_parts(spark):
     assert pii.redact_documents(docs).first().text == "[IP], [IP], [IP], [IP] [IP] [IP] but 10.0.0.256 0.0.0.0256 1.2.3.1000"
 
 
+def test_pii_long_credentials(spark):
+    rng = np.random.default_rng(4)
+    key = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    texts = {
+        1: ("use token={} now", f"{key(20)}.e{key(30)}.{key(43)}"), 2: ("my api_key: {}, ok", key(500)), 3: ("secret={}. Then", f"{key(42)}=="),
+        4: ("a password = {}\n", f"{key(9)}==.{key(30)}-_"), 5: ("token: {}... no", key(40)), 6: ("the secret={}", "aB3_" * 5000),
+    }
+    who = ("write to {} please", f"{'long.name' * 10} (at) mail.example.{'c' * 70}")
+    docs = [(i, t.format(x)) for i, (t, x) in texts.items()] + [(7, who[0].format(who[1])), (8, "secret=" + "A" * 20_000)]
+    out = {r.doc_id: r.text for r in pii.redact_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    want = {i: re.sub(r"\w+ ?[=:] ?\{\}", "[SECRET]", t) for i, (t, _) in texts.items()}
+    assert {i: out[i] for i in texts} == want and out[7] == who[0].format("[EMAIL]")
+
+
 def test_votes_become_reliabilities():
     posterior = pii.estimate({"11-1": 50, "00-0": 50, "10-1": 3, "----": 10})
     assert posterior["11-1"] > 0.9 and posterior["00-0"] < 0.1

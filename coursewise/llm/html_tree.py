@@ -1,21 +1,21 @@
 """Main text of web pages through site style trees.
 
-The DOMs of a host's pages are merged by style path (tags and class names from the root). For each
-path, the entropy of its presentations (sequences of child tags) and of its contents, to the base
-of the number of pages, says how much it varies across the site: a branch that looks and reads
+The DOMs of a host's different pages are merged by style path (tags and class names from the root).
+Copies of a page count once, and so do all nodes of a path in a page. For each path, the entropy of
+its presentations (sequences of child tags) and of its contents, to the base of the number of pages, says how much it varies across the site: a branch that looks and reads
 alike everywhere is boilerplate, whatever it is called. Branches whose tags, roles or class names
 mark them as menus, adverts, comments and the like have importance zero from the start. The rest
 of a page, inside its article if it has one, is its main text.
 
-Paths are counted inside each batch before they are shuffled and summed by (host, path), so a host
-with a third of all pages is spread out; pages themselves are only shuffled if the table of
-unimportant branches is too large to broadcast.
+The paths of a page are shuffled by (host, page, path) as hashes of their looks, and are counted
+inside each task before they are summed by (host, path), so a host with a third of all pages is
+spread out; pages themselves are only shuffled if the table of unimportant branches is too large to
+broadcast.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -183,45 +183,53 @@ def key_of(text: str) -> int:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """The merged trees: rows (host, path, part, look, times, pages); part is p or c.
+    """The merged trees: rows (host, path, part, look, times); part is p or c.
 
-    ``look`` is the hash of a presentation (p) or a content (c), ``times`` its occurrences.
+    ``look`` is the hash of a page's presentations (p) or contents (c) of the path, ``times`` the
+    number of different pages with it.
     """
 
     def build(batch: pa.RecordBatch) -> dict:
-        counts: Counter = Counter()
+        rows: list[tuple] = []
+        seen: set[tuple] = set()
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+            page = key_of(html or "")
+            if (host, page) in seen:
+                continue
+            seen.add((host, page))
+            looks: dict[str, tuple[list[str], list[str]]] = {}
             for node in judged(parse(html or "")):
-                tags = ",".join(c.style for c in node.children if isinstance(c, Node))
-                counts[host, node.path, "p", key_of(tags)] += 1
-                counts[host, node.path, "c", key_of("\n".join(blocks_of(node, set())))] += 1
-        rows = [(*k, n) for k, n in counts.items()]
+                shown, read = looks.setdefault(node.path, ([], []))
+                shown.append(",".join(c.style for c in node.children if isinstance(c, Node)))
+                read.append("\n".join(blocks_of(node, set())))
+            rows += [(host, page, path, key_of("\0".join(shown)), key_of("\0".join(read))) for path, (shown, read) in looks.items()]
         columns = zip(*rows, strict=True) if rows else [()] * 5
-        types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        return {n: pa.array(c, t) for n, c, t in zip(["host", "path", "part", "look", "times"], columns, types, strict=True)}
+        types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        return {n: pa.array(c, t) for n, c, t in zip(["host", "page", "path", "p", "c"], columns, types, strict=True)}
 
     host, _ = host_and_path(F.col("url"))
-    looks = map_texts(pages.select(host.alias("host"), "html"), "host string, path string, part string, look long, times long", build)
-    return looks.groupBy("host", "path", "part", "look").agg(F.sum("times").alias("times"))
+    looks = map_texts(pages.select(host.alias("host"), "html"), "host string, page long, path string, p long, c long", build).distinct()
+    parts = F.inline(F.array(*[F.struct(F.lit(x).alias("part"), F.col(x).alias("look")) for x in "pc"]))
+    return looks.select("host", "path", parts).groupBy("host", "path", "part", "look").agg(F.count(F.lit(1)).alias("times"))
 
 
 def importance(tree: DataFrame) -> DataFrame:
-    """Rows (host, path, nodes, importance from 0 to 1): entropies to the base of the node count."""
+    """Rows (host, path, pages, importance from 0 to 1): entropies to the base of the page count."""
     n = F.col("times").cast("double")
-    sums = tree.groupBy("host", "path", "part").agg(F.sum("times").alias("nodes"), F.sum(n * F.ln(n)).alias("nlogn"))
-    entropy = F.when(F.col("nodes") > 1, 1 - F.col("nlogn") / (F.col("nodes") * F.ln("nodes"))).otherwise(1.0)
+    sums = tree.groupBy("host", "path", "part").agg(F.sum("times").alias("pages"), F.sum(n * F.ln(n)).alias("nlogn"))
+    entropy = F.when(F.col("pages") > 1, 1 - F.col("nlogn") / (F.col("pages") * F.ln("pages"))).otherwise(1.0)
     share = F.when(F.col("part") == "p", F.lit(PRESENTATION_SHARE)).otherwise(F.lit(1 - PRESENTATION_SHARE))
-    return sums.groupBy("host", "path").agg(F.max("nodes").alias("nodes"), F.sum(entropy * share).alias("importance"))
+    return sums.groupBy("host", "path").agg(F.max("pages").alias("pages"), F.sum(entropy * share).alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text, n_chars.
 
     Null html counts as empty and gives an empty text. Pages with a null url, or one without a
-    host, form a site of their own. Sites with fewer than MIN_PAGES nodes of a path are judged by
-    tags and class names alone. Repeated rows come out repeated.
+    host, form a site of their own. Sites with fewer than MIN_PAGES different pages with a path
+    are judged by tags and class names alone. Repeated rows come out repeated.
     """
-    weak = importance(style_tree(pages)).where((F.col("nodes") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE))
+    weak = importance(style_tree(pages)).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE))
     weak = staged(weak.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("dropped")), "weak-branches")
     size = weak.agg(F.sum(F.length("host") + F.length(F.array_join("dropped", ",")) + 64)).first()[0] or 0
     host, _ = host_and_path(F.col("url"))

@@ -243,6 +243,18 @@ def test_site_style_tree_drops_what_repeats(spark):
     assert {r.page_id: r.text for r in html_tree.extract(pages).collect()} == {i: f"Story {i} {'x' * i}".strip() for i in range(12)}
 
 
+def test_copies_of_a_page_are_no_boilerplate(spark):
+    page = "<body><div class='story'><p>Story {0}</p></div></body>"
+    rows = [(i, f"http://h/1?q={i}", page.format("one")) for i in range(30)] + [(30 + i, f"http://h/{i}", page.format(i)) for i in range(5)]
+    cells = "<article><table><tr>" + "<td>7</td>" * 20 + "<td>{0}</td></tr></table><div>7</div>" + "<div>7</div>" * 5 + "</article>"
+    rows += [(50, "http://one/", cells.format(1))] + [(60 + i, f"http://many/{i}", cells.format(i)) for i in range(10, 16)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in html_tree.extract(pages).collect()}
+    assert [got[i] for i in range(35)] == ["Story one"] * 30 + [f"Story {i}" for i in range(5)]
+    assert got[50].split() == ["7"] * 20 + ["1"] + ["7"] * 6
+    assert [got[60 + i].split().count(str(i)) for i in range(10, 16)] == [1] * 6
+
+
 def test_pii(docs):
     rows = {r.doc_id: r for r in pii.pii_table(docs).collect()}
     text = next(t for i, t, _ in TEXTS if i == 10)

@@ -3,9 +3,11 @@
 The DOMs of a host's different pages are merged by style path (tags and class names from the root).
 Copies of a page count once, and so do all nodes of a path in a page. For each path, the entropy of
 its presentations (sequences of child tags) and of its contents, to the base of the number of pages, says how much it varies across the site: a branch that looks and reads
-alike everywhere is boilerplate, whatever it is called. Branches whose tags, roles or class names
-mark them as menus, adverts, comments and the like have importance zero from the start. The rest
-of a page, inside its article if it has one, is its main text.
+alike everywhere is boilerplate, whatever it is called. Branches whose tags or roles mark them as
+menus, forms and the like have importance zero from the start. A class or id that names adverts,
+comments and the like lowers the importance; it decides alone only where there are too few pages to
+compare, and never for a node that holds an article. The rest of a page, inside its article if it
+has one, is its main text.
 
 The paths of a page are shuffled by (host, page, path) as hashes of their looks, and are counted
 inside each task before they are summed by (host, path), so a host with a third of all pages is
@@ -29,6 +31,8 @@ from coursewise.sources.staging import staged
 
 MIN_PAGES = 5
 MIN_IMPORTANCE = 0.3
+NAMED_SHARE = 0.5  # of the importance is left to a branch named as boilerplate
+NAMED = " named"  # ends the style of such a node; no tag or class holds a space
 PRESENTATION_SHARE = 0.3  # of the importance; the rest is content
 BROADCAST_BYTES = 8 << 20
 # HTML's void elements, the elements without text, blocks, and marks of boilerplate.
@@ -58,6 +62,12 @@ class Node:
     marked: bool
     path: str
     children: list[Node | str] = field(default_factory=list)
+    named: bool = False
+    holds: bool = False  # an article or main below
+
+
+def words_of(token: str) -> list[str]:
+    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower())
 
 
 class TreeBuilder(HTMLParser):
@@ -77,15 +87,19 @@ class TreeBuilder(HTMLParser):
         if tag == "body":
             self.end("head", set())
         found = {k: v or "" for k, v in attrs}
-        words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{found.get('class', '')} {found.get('id', '')}").lower())
         above = self.open[-1]
         marked = tag in SILENT or tag in BOILERPLATE_TAGS or found.get("role", "").lower() in BOILERPLATE_ROLES
-        marked = marked or (tag not in ("html", "body", "article", "main") and not BOILERPLATE_WORDS.isdisjoint(words))
-        if not any(n.tag in ("article", "main") for n in self.open):
-            marked = marked or tag == "header" or (tag not in ("html", "body", "article", "main") and "header" in words)
+        outside = not any(n.tag in ("article", "main") for n in self.open)
+        marked = marked or (outside and tag == "header")
+        known = BOILERPLATE_WORDS | {"header"} if outside else BOILERPLATE_WORDS
+        tokens = f"{found.get('class', '')} {found.get('id', '')}".split()
+        named = tag not in ("html", "body", "article", "main") and any(map(known.issuperset, filter(None, map(words_of, tokens))))
+        if tag in ("article", "main"):
+            for n in self.open:
+                n.holds = True
         names = sorted(c for c in found.get("class", "").split() if c.isalpha())
-        style = ".".join([tag, *names])
-        node = Node(tag, style, marked, f"{above.path}/{style}")
+        style = ".".join([tag, *names]) + (NAMED if named else "")
+        node = Node(tag, style, marked, f"{above.path}/{style}", named=named)
         above.children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -129,7 +143,12 @@ def walk(root: Node):
         todo.extend((c, inside) for c in reversed(node.children) if isinstance(c, Node))
 
 
-def blocks_of(node: Node, dropped: set[str]) -> list[str]:
+def skipped(node: Node, turned: set[str]) -> bool:
+    """Whether a node goes with all below it: named ones do, others don't, unless their path is turned."""
+    return node.marked or (not node.holds and node.named != (node.path in turned))
+
+
+def blocks_of(node: Node, turned: set[str]) -> list[str]:
     """Texts of the blocks below a node, white space inside each turned into one space."""
     found: list[str] = []
     line: list[str] = []
@@ -148,7 +167,7 @@ def blocks_of(node: Node, dropped: set[str]) -> list[str]:
             line.append(at)
         elif at.tag == "br":
             line.append(" ")
-        elif not (at.marked or at.path in dropped):
+        elif at is node or not skipped(at, turned):
             block = at.tag in BLOCKS
             if block:
                 end()
@@ -159,23 +178,27 @@ def blocks_of(node: Node, dropped: set[str]) -> list[str]:
 
 
 def judged(root: Node) -> list[Node]:
-    """The nodes whose importance is to be estimated: all but articles and the prose inside them."""
-    return [n for n, inside in walk(root) if n.tag not in ("", "html", "body", "article", "main") and not (inside and n.tag in PROSE) and n.tag in BLOCKS]
+    """The nodes whose importance is to be estimated: all but what is or holds an article, and unnamed prose inside one."""
+
+    def counts(n: Node, inside: bool) -> bool:
+        return n.named or (n.tag in BLOCKS and not (inside and n.tag in PROSE))
+
+    return [n for n, inside in walk(root) if n.tag not in ("", "html", "body", "article", "main") and not n.holds and counts(n, inside)]
 
 
-def main_text(root: Node, dropped: set[str]) -> str:
-    """The text of the outermost articles, or else of the page, without the dropped paths."""
+def main_text(root: Node, turned: set[str]) -> str:
+    """The text of the outermost articles, or else of the page, without the skipped branches."""
     tops: list[Node] = []
     todo = [root]
     while todo:
         node = todo.pop()
-        if node.marked or node.path in dropped:
+        if skipped(node, turned):
             continue
         if node.tag in ("article", "main"):
             tops.append(node)
         else:
             todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
-    return "\n\n".join(b for top in tops or [root] for b in blocks_of(top, dropped))
+    return "\n\n".join(b for top in tops or [root] for b in blocks_of(top, turned))
 
 
 def key_of(text: str) -> int:
@@ -229,16 +252,18 @@ def extract(pages: DataFrame) -> DataFrame:
     host, form a site of their own. Sites with fewer than MIN_PAGES different pages with a path
     are judged by tags and class names alone. Repeated rows come out repeated.
     """
-    weak = importance(style_tree(pages)).where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < MIN_IMPORTANCE))
-    weak = staged(weak.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("dropped")), "weak-branches")
-    size = weak.agg(F.sum(F.length("host") + F.length(F.array_join("dropped", ",")) + 64)).first()[0] or 0
+    named, varies = F.col("path").endswith(NAMED), F.col("importance")
+    turned = F.when(named, varies * NAMED_SHARE >= MIN_IMPORTANCE).otherwise(varies < MIN_IMPORTANCE)
+    weak = importance(style_tree(pages)).where((F.col("pages") >= MIN_PAGES) & turned)
+    weak = staged(weak.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("turned")), "turned-branches")
+    size = weak.agg(F.sum(F.length("host") + F.length(F.array_join("turned", ",")) + 64)).first()[0] or 0
     host, _ = host_and_path(F.col("url"))
     keyed = pages.select("page_id", "url", "html", host.alias("host"))
     joined = keyed.join(F.broadcast(weak) if size <= BROADCAST_BYTES else weak, "host", "left")
 
     def build(batch: pa.RecordBatch) -> dict:
-        dropped = batch.column("dropped").to_pylist()
-        texts = [main_text(parse(h or ""), set(d or ())) for h, d in zip(batch.column("html").to_pylist(), dropped, strict=True)]
+        turned = batch.column("turned").to_pylist()
+        texts = [main_text(parse(h or ""), set(d or ())) for h, d in zip(batch.column("html").to_pylist(), turned, strict=True)]
         return {
             "page_id": batch.column("page_id"),
             "url": batch.column("url"),
@@ -247,4 +272,4 @@ def extract(pages: DataFrame) -> DataFrame:
         }
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return map_texts(joined.select("page_id", "url", "html", "dropped"), f"page_id {kind}, url string, text string, n_chars long", build)
+    return map_texts(joined.select("page_id", "url", "html", "turned"), f"page_id {kind}, url string, text string, n_chars long", build)

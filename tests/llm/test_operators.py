@@ -255,6 +255,17 @@ def test_copies_of_a_page_are_no_boilerplate(spark):
     assert [got[60 + i].split().count(str(i)) for i in range(10, 16)] == [1] * 6
 
 
+def test_names_alone_drop_no_content(spark):
+    wrapped = "<body><div {0}><article><h1>A</h1><div class='share-price'>B</div></article></div></body>"
+    names = ["id='content' class='has-sidebar'", "class='no-ads'", "class='related-layout'", "class='sidebar'"]
+    rows = [(i, f"http://s{i}/", wrapped.format(n)) for i, n in enumerate(names)]
+    page = "<article><h1>T{0}</h1><p class='notice'>Notice {0}</p><div class='ad'>Buy <p>this</p></div></article>"
+    rows += [(10 + i, f"http://h/{i}", page.format(i)) for i in range(6)] + [(20, "http://few/", page.format(20))]
+    got = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {i: "A\n\nB" for i in range(4)} | {10 + i: f"T{i}\n\nNotice {i}" for i in range(6)} | {20: "T20"}
+    assert got == want
+
+
 def test_pii(docs):
     rows = {r.doc_id: r for r in pii.pii_table(docs).collect()}
     text = next(t for i, t, _ in TEXTS if i == 10)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from coursewise.llm import byte_cnn, bpe, html_tree, language_id, mixing, pii, quality_rules, simhash, topk, url_filters
+from coursewise.llm import byte_cnn, bpe, centroids, collocations, html_tree, language_id, mixing, nearest, pii, quality_rules, simhash, topk, url_filters
 from coursewise.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_table(table(spark, sf_dir, "documents"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,6 +92,9 @@ QUERIES: dict[str, Query] = {
         op8_html_extraction,
         op9_pii,
         op10_language_id,
+        op11_centroids,
+        op12_collocations,
+        op13_nearest,
         pipeline,
     )
 }
@@ -171,4 +186,82 @@ SELECT m.doc_id, m.size, m.source_size, m.target,
 FROM missing m LEFT JOIN filled f ON m.source IS NOT DISTINCT FROM f.source
 """
 
-ORACLE = {"op3_url_filters": URL_SQL, "op4_exact_topk": TOPK_SQL, "op7_mixing": MIXING_SQL}
+#: One round over the table c0 of centroids (c, vec); dist is exact in doubles for vectors of this size.
+ASSIGN_SQL = """
+nearest{0} AS MATERIALIZED (
+  SELECT rid, arg_min(c, [d, c]) AS c, min(d) AS d FROM (
+    SELECT v.rid, k.c, list_inner_product(v.vec, v.vec) - 2 * list_inner_product(v.vec, k.vec) + list_inner_product(k.vec, k.vec) AS d
+    FROM v CROSS JOIN c{0} k
+  ) GROUP BY rid
+)"""
+MOVE_SQL = """
+c{1} AS MATERIALIZED (
+  SELECT c, coalesce(m.vec, k.vec) AS vec FROM c{0} k LEFT JOIN (
+    SELECT c, list(floor(s / n) ORDER BY i) AS vec FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n
+      FROM (SELECT a.c, unnest(v.vec) AS x, generate_subscripts(v.vec, 1) AS i FROM nearest{0} a JOIN v USING (rid)) GROUP BY c, i
+    ) GROUP BY c
+  ) m USING (c)
+)"""
+CENTROID_SQL = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS vec FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), vec) - 1 AS c, vec FROM v
+  QUALIFY c < 8
+),"""
+    + ",".join(ASSIGN_SQL.format(i) + "," + MOVE_SQL.format(i, i + 1) for i in range(10))
+    + ","
+    + ASSIGN_SQL.format(10)
+    + """
+SELECT v.vec_id, a.c::INTEGER AS cluster, a.d::BIGINT AS distance,
+  (sum(a.d::BIGINT) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia, (sum(a.d::BIGINT) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(k.vec, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM nearest10 a JOIN v USING (rid) JOIN c10 k USING (c)
+"""
+)
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, m, unnest([array_to_string(w[i : i + m - 1], ' ') FOR i IN range(1, len(w) - m + 2)]) AS phrase
+  FROM words CROSS JOIN (VALUES (1), (2), (3), (4)) AS sizes(m)
+), totals AS (
+  SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang
+), f AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase
+), candidates AS MATERIALIZED (
+  SELECT lang, m, phrase, f AS a, str_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1 : k], ' ') AS head, array_to_string(w[k + 1 :], ' ') AS rest
+  FROM candidates JOIN (VALUES (1), (2), (3)) AS places(k) ON k < m
+), scored AS (
+  SELECT c.*, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.rest
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), kept AS (
+  SELECT * FROM lowest s WHERE NOT EXISTS (
+    SELECT 1 FROM candidates c
+    WHERE c.lang = s.lang AND c.m > len(str_split(s.phrase, ' ')) AND 100 * c.a >= 80 * s.a AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')
+  )
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {
+    "op3_url_filters": URL_SQL,
+    "op4_exact_topk": TOPK_SQL,
+    "op7_mixing": MIXING_SQL,
+    "op11_centroids": CENTROID_SQL,
+    "op12_collocations": COLLOCATION_SQL,
+}

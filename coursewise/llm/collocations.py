@@ -7,6 +7,12 @@ Spark's ROLLUP over the window's columns sums the counts of all shorter phrases
 windows, and no n-gram is ever exploded. Rows of the rollup whose phrase would end in padding are the
 same phrase again and are left out.
 
+Most windows of four words occur once, so a window ends before a pair of words that is surely rare,
+as no frequent phrase spans it: the counts of frequent phrases stay exact. Pairs are counted by hash
+and the frequent ones set bits in a blocked Bloom filter of at most MAX_BLOCKS longs, which can be
+broadcast whatever the corpus; collisions, or a filter that is too small for its pairs, only leave
+windows longer than they need be.
+
 Only frequent phrases go on: the parts of a candidate occur at least as often as the candidate, so
 their counts are in the same table. What follows are joins of that table with itself, keyed by
 phrase; ranks are cut inside each task before a language meets in one.
@@ -14,6 +20,7 @@ phrase; ranks are cut inside each task before a language meets in one.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -26,30 +33,74 @@ CONTAINED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-PIECE_ENDS = r"[.,;:!?\x0A-\x0D]+"
-PIECE_WORD = r"[^\x20\x09]+"
+# What ends a piece, and white space between words.
+PIECE_ENDS, SPACES = ".,;:!?\n\x0b\x0c\r", " \t"
 UNKNOWN = "und"
+PAIRS_PER_BLOCK = 4  # of 64 bits, four of which a pair sets
+MAX_BLOCKS = 1 << 20
 
 
 def columns(longest: int) -> list[str]:
     return [f"w{i}" for i in range(longest)]
 
 
-def windows(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """Rows (lang, w0, w1, ..): each word with those that lead it in its piece, null past the end."""
-    text = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
+def pieces(docs: DataFrame) -> DataFrame:
+    """Rows (lang, words) of all pieces, A-Z in lower case."""
+    plain = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER + PIECE_ENDS + SPACES, LOWER + "\n" * len(PIECE_ENDS) + " " * len(SPACES))
     lang = F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang")
-    pieces = docs.select(lang, F.explode(F.split(text, PIECE_ENDS)).alias("piece"))
-    words = pieces.select("lang", F.regexp_extract_all("piece", F.lit(PIECE_WORD), F.lit(0)).alias("words"))
+    rows = docs.select(lang, F.explode(F.split(plain, "\n")).alias("piece"))
+    return rows.select("lang", F.array_remove(F.split("piece", " "), "").alias("words"))
+
+
+def windows(rows: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Rows (lang, w0, w1, ..): each word with those that lead it in its piece, null past the end."""
     leads = [F.slice("words", i + 1, F.greatest(F.size("words") - i, F.lit(0))).alias(w) for i, w in enumerate(columns(longest))]
-    return words.select("lang", F.inline(F.arrays_zip(*leads)))
+    return rows.select("lang", F.inline(F.arrays_zip(*leads)))
+
+
+def pair_hash(first: str, second: str) -> Column:
+    return F.xxhash64("lang", first, second)
+
+
+def block_of(pair: Column, blocks: int) -> Column:
+    return F.pmod(pair, F.lit(blocks)).cast("int")
+
+
+def mask_of(pair: Column) -> Column:
+    """Four bits from the upper part of the hash; the block comes from the lower one."""
+    places = [F.shiftright(pair, 40 + 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(4)]
+    return reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places])
+
+
+def pair_filter(rows: DataFrame, min_count: int) -> tuple[DataFrame, int]:
+    """Rows (block, bits) of the pairs found ``min_count`` times or more, and the number of blocks."""
+    pair = pair_hash("w0", "w1").alias("pair")
+    counted = windows(rows, 2).where("w1 is not null").groupBy(pair).agg(F.count(F.lit(1)).alias("n"))
+    frequent = staged(counted.where(F.col("n") >= min_count).select("pair"), "frequent-pairs")
+    blocks = min(MAX_BLOCKS, 1 << math.ceil(math.log2(max(1, frequent.count() / PAIRS_PER_BLOCK))))
+    bits = frequent.groupBy(block_of(F.col("pair"), blocks).alias("block")).agg(F.bit_or(mask_of(F.col("pair"))).alias("bits"))
+    return staged(bits, "pair-filter"), blocks
+
+
+def cut_windows(rows: DataFrame, longest: int, min_count: int) -> DataFrame:
+    """The windows, each ending before its first pair that is surely rare."""
+    bits, blocks = pair_filter(rows, min_count)
+    cols = columns(longest)
+    out = windows(rows, longest)
+    for before, w in zip(cols, cols[1:], strict=False):
+        pair = pair_hash(before, w)
+        lane = F.broadcast(bits.select(F.col("block").alias(f"{w}_block"), F.col("bits").alias(f"{w}_bits")))  # MAX_BLOCKS rows at most
+        linked = F.col(f"{w}_bits").bitwiseAND(mask_of(pair)) == mask_of(pair)
+        out = out.withColumn(f"{w}_block", F.when(F.col(w).isNotNull() & F.col(before).isNotNull(), block_of(pair, blocks)))
+        out = out.join(lane, f"{w}_block", "left").withColumn(w, F.when(linked, F.col(w))).drop(f"{w}_block", f"{w}_bits")
+    return out
 
 
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """Staged tables (lang, m, phrase, f) of phrases of 1 to ``longest`` words found ``min_count``
     times or more, and (lang, n) of all word occurrences."""
     cols = columns(longest)
-    counted = windows(docs, longest).groupBy("lang", *cols).agg(F.count(F.lit(1)).alias("n"))
+    counted = cut_windows(pieces(docs), longest, min_count).groupBy("lang", *cols).agg(F.count(F.lit(1)).alias("n"))
     level = F.grouping_id()
     rolled = counted.rollup("lang", *cols).agg(F.sum("n").alias("f"), level.alias("level"))
     # of the grouping columns the first 1 + m are set where the last (longest - m) bits are ones

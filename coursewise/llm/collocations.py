@@ -7,11 +7,11 @@ Spark's ROLLUP over the window's columns sums the counts of all shorter phrases
 windows, and no n-gram is ever exploded. Rows of the rollup whose phrase would end in padding are the
 same phrase again and are left out.
 
-Most windows of four words occur once, so a window ends before a pair of words that is surely rare,
-as no frequent phrase spans it: the counts of frequent phrases stay exact. Pairs are counted by hash
-and the frequent ones set bits in a blocked Bloom filter of at most MAX_BLOCKS longs, which can be
-broadcast whatever the corpus; collisions, or a filter that is too small for its pairs, only leave
-windows longer than they need be.
+Most windows of four words occur once, so a window ends before a pair or triple of words that is
+surely rare, as no frequent phrase holds it: the counts of frequent phrases stay exact. Pairs, then
+the triples of frequent pairs, are counted by hash and the frequent ones set bits in a blocked Bloom
+filter of at most MAX_BLOCKS longs, which can be broadcast whatever the corpus; collisions, or a
+filter that is too small for its phrases, only leave windows longer than they need be.
 
 Only frequent phrases go on: the parts of a candidate occur at least as often as the candidate, so
 their counts are in the same table. What follows are joins of that table with itself, keyed by
@@ -36,7 +36,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # What ends a piece, and white space between words.
 PIECE_ENDS, SPACES = ".,;:!?\n\x0b\x0c\r", " \t"
 UNKNOWN = "und"
-PAIRS_PER_BLOCK = 4  # of 64 bits, four of which a pair sets
+PHRASES_PER_BLOCK = 4  # of 64 bits, four of which a phrase sets
 MAX_BLOCKS = 1 << 20
 
 
@@ -58,49 +58,62 @@ def windows(rows: DataFrame, longest: int = LONGEST) -> DataFrame:
     return rows.select("lang", F.inline(F.arrays_zip(*leads)))
 
 
-def pair_hash(first: str, second: str) -> Column:
-    return F.xxhash64("lang", first, second)
+def hash_of(words: list[str]) -> Column:
+    return F.xxhash64("lang", *words)
 
 
-def block_of(pair: Column, blocks: int) -> Column:
-    return F.pmod(pair, F.lit(blocks)).cast("int")
+def block_of(phrase: Column, blocks: int) -> Column:
+    return F.pmod(phrase, F.lit(blocks)).cast("int")
 
 
-def mask_of(pair: Column) -> Column:
+def mask_of(phrase: Column) -> Column:
     """Four bits from the upper part of the hash; the block comes from the lower one."""
-    places = [F.shiftright(pair, 40 + 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(4)]
+    places = [F.shiftright(phrase, 40 + 6 * i).bitwiseAND(F.lit(63)).cast("int") for i in range(4)]
     return reduce(lambda a, b: a.bitwiseOR(b), [F.call_function("shiftleft", F.lit(1).cast("long"), p) for p in places])
 
 
-def pair_filter(rows: DataFrame, min_count: int) -> tuple[DataFrame, int]:
-    """Rows (block, bits) of the pairs found ``min_count`` times or more, and the number of blocks."""
-    pair = pair_hash("w0", "w1").alias("pair")
-    counted = windows(rows, 2).where("w1 is not null").groupBy(pair).agg(F.count(F.lit(1)).alias("n"))
-    frequent = staged(counted.where(F.col("n") >= min_count).select("pair"), "frequent-pairs")
-    blocks = min(MAX_BLOCKS, 1 << math.ceil(math.log2(max(1, frequent.count() / PAIRS_PER_BLOCK))))
-    bits = frequent.groupBy(block_of(F.col("pair"), blocks).alias("block")).agg(F.bit_or(mask_of(F.col("pair"))).alias("bits"))
-    return staged(bits, "pair-filter"), blocks
+Filters = dict[int, tuple[DataFrame, int]]
 
 
-def cut_windows(rows: DataFrame, longest: int, min_count: int) -> DataFrame:
-    """The windows, each ending before its first pair that is surely rare."""
-    bits, blocks = pair_filter(rows, min_count)
+def cut_windows(rows: DataFrame, longest: int, filters: Filters) -> DataFrame:
+    """The windows, each ending before its first word that ends a surely rare phrase.
+
+    ``filters`` has, by number of words, rows (block, bits) and the number of blocks.
+    """
     cols = columns(longest)
     out = windows(rows, longest)
-    for before, w in zip(cols, cols[1:], strict=False):
-        pair = pair_hash(before, w)
-        lane = F.broadcast(bits.select(F.col("block").alias(f"{w}_block"), F.col("bits").alias(f"{w}_bits")))  # MAX_BLOCKS rows at most
-        linked = F.col(f"{w}_bits").bitwiseAND(mask_of(pair)) == mask_of(pair)
-        out = out.withColumn(f"{w}_block", F.when(F.col(w).isNotNull() & F.col(before).isNotNull(), block_of(pair, blocks)))
-        out = out.join(lane, f"{w}_block", "left").withColumn(w, F.when(linked, F.col(w))).drop(f"{w}_block", f"{w}_bits")
+    for at in range(1, longest):
+        linked = F.col(cols[at]).isNotNull() & F.col(cols[at - 1]).isNotNull()
+        held = linked
+        for size, (bits, blocks) in filters.items():
+            if size <= at + 1:
+                phrase, lane = hash_of(cols[at - size + 1 : at + 1]), f"lane_{size}"
+                out = out.withColumn("block", F.when(linked, block_of(phrase, blocks)))
+                out = out.join(F.broadcast(bits.withColumnRenamed("bits", lane)), "block", "left").drop("block")  # MAX_BLOCKS rows at most
+                held = held & F.coalesce(F.col(lane).bitwiseAND(mask_of(phrase)) == mask_of(phrase), F.lit(False))
+        out = out.withColumn(cols[at], F.when(held, F.col(cols[at]))).select("lang", *cols)
     return out
 
 
+def phrase_filter(rows: DataFrame, size: int, min_count: int, filters: Filters) -> tuple[DataFrame, int]:
+    """Rows (block, bits) of the phrases of ``size`` words found ``min_count`` times or more."""
+    cols = columns(size)
+    whole = cut_windows(rows, size, filters).where(F.col(cols[-1]).isNotNull())
+    counted = whole.groupBy(hash_of(cols).alias("phrase")).agg(F.count(F.lit(1)).alias("n"))
+    frequent = staged(counted.where(F.col("n") >= min_count).select("phrase"), "frequent-phrases")
+    blocks = min(MAX_BLOCKS, 1 << math.ceil(math.log2(max(1, frequent.count() / PHRASES_PER_BLOCK))))
+    bits = frequent.groupBy(block_of(F.col("phrase"), blocks).alias("block")).agg(F.bit_or(mask_of(F.col("phrase"))).alias("bits"))
+    return staged(bits, "phrase-filter"), blocks
+
+
 def phrase_counts(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """Staged tables (lang, m, phrase, f) of phrases of 1 to ``longest`` words found ``min_count``
     times or more, and (lang, n) of all word occurrences."""
     cols = columns(longest)
-    counted = cut_windows(pieces(docs), longest, min_count).groupBy("lang", *cols).agg(F.count(F.lit(1)).alias("n"))
+    rows, filters = pieces(docs), {}
+    for size in range(2, longest):
+        filters[size] = phrase_filter(rows, size, min_count, filters)
+    counted = cut_windows(rows, longest, filters).groupBy("lang", *cols).agg(F.count(F.lit(1)).alias("n"))
     level = F.grouping_id()
     rolled = counted.rollup("lang", *cols).agg(F.sum("n").alias("f"), level.alias("level"))
     # of the grouping columns the first 1 + m are set where the last (longest - m) bits are ones

@@ -36,6 +36,29 @@ def total_similarity(
     )
 
 
+def shared_similarity(cells: DataFrame, overlaps: DataFrame, row: str, feature: str, value: str) -> DataFrame:
+    """Sum of cosines of each row to all others within the row's own course set.
+
+    ``cells`` are keyed by neighbours and shared courses. Unit rows are summed once per neighbour
+    set and intersection, and a course set adds up the sums it has an intersection with; the rows
+    themselves are those whose set is shared as a whole.
+    """
+    units = unit_rows(cells, ["neighbours", "shared"], row, feature, value)
+    centre = (
+        units.groupBy("neighbours", "shared", feature)
+        .agg(F.sum("unit").alias("centre"))
+        .join(overlaps.select("neighbours", "shared", "course_set"), ["neighbours", "shared"])
+        .groupBy("course_set", feature)
+        .agg(F.sum("centre").alias("centre"))
+    )
+    own = units.where(F.col("neighbours") == F.col("shared")).withColumnRenamed("neighbours", "course_set")
+    return (
+        own.join(centre, ["course_set", feature])
+        .groupBy("course_set", row)
+        .agg((F.sum(F.col("unit") * F.col("centre")) - 1.0).alias("total_similarity"))
+    )
+
+
 def pair_similarity(
     pairs: DataFrame,
     entries: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from coursewise.functions.scores import explanation, hybrid_score, top_k
 from coursewise.functions.text import term_weights
 from coursewise.operators.baseline_random import random_scores
-from coursewise.operators.collaborative import clicks_by_course_set, collaborative_scores
+from coursewise.operators.collaborative import clicks_by_shared_courses, collaborative_scores, shared_courses
 from coursewise.operators.content import (
     catalogue_by_course_set,
     content_scores,
@@ -25,7 +25,7 @@ from coursewise.operators.interactions import (
 from coursewise.operators.learners import course_sets, learner_profiles
 from coursewise.operators.mixing import hybrid_scores, score_table
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
-from coursewise.operators.similarity import total_similarity
+from coursewise.operators.similarity import shared_similarity, total_similarity
 from coursewise.plans import features, profile
 from coursewise.plans.candidates import (
     create_ml_dataset,
@@ -375,10 +375,10 @@ def document_similarity(spark, sf_dir):
 
 def learner_similarity(spark, sf_dir):
     history, _, profiles = history_of(spark, sf_dir)
-    cells = clicks_by_course_set(history, course_sets(profiles))
-    total = total_similarity(cells, ["course_set"], "id_student", "id_site", "clicks")
-    own = total.join(profiles.select("course_set", "id_student"), ["course_set", "id_student"])
-    return rounded(named_course_sets(own, profiles))
+    overlaps, learners = shared_courses(history, course_sets(profiles))
+    cells = clicks_by_shared_courses(history, overlaps, learners)
+    total = shared_similarity(cells, overlaps, "id_student", "id_site", "clicks")
+    return rounded(named_course_sets(total, profiles))
 
 
 def resource_similarity(spark, sf_dir):

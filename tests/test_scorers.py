@@ -10,7 +10,7 @@ from coursewise.operators import collaborative as collab_module
 from coursewise.operators.baseline_random import random_scores
 from coursewise.operators.collaborative import collaborative_scores
 from coursewise.operators.content import content_scores
-from coursewise.operators.learners import learner_profiles
+from coursewise.operators.learners import course_sets, learner_profiles
 from coursewise.operators.mixing import hybrid_scores, score_table, source_scores
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
 from coursewise.schemas import ITEM, LEARNER_COURSE
@@ -205,3 +205,67 @@ def test_pruned_lists_give_the_same_best(interactions_of, k):
     expected = best(full)
     assert best(pruned) == expected and len(expected) == 12 * 2 * 3 * k
     assert pruned.count() < full.count()
+
+
+def many_course_sets():
+    """Learners with hundreds of different course sets."""
+    draw = np.random.default_rng(11)
+    rows = set()
+    for s in range(260):
+        for c in draw.choice(10, size=draw.integers(1, 6), replace=False):
+            for i in draw.choice(5, size=2, replace=False):
+                rows.add((s, chr(65 + int(c)), int(c * 10 + i), int(draw.integers(0, 5))))
+    return sorted(rows)
+
+
+def test_collaborative_with_hundreds_of_course_sets(interactions_of):
+    rows = many_course_sets()
+    history = interactions_of(rows)
+    profiles = staged(learner_profiles(history), "profiles")
+    assert profiles.select("course_set").distinct().count() > 150
+    found = by_item(collaborative_scores(history, profiles), "collaborative_score")
+    assert found == pytest.approx(brute_force(rows))
+
+
+def test_neighbours_are_copied_by_intersection(interactions_of):
+    rows = many_course_sets()
+    history = interactions_of(rows)
+    sets = course_sets(learner_profiles(history))
+    overlaps, learners = collab_module.shared_courses(history, sets)
+    cells = collab_module.clicks_by_shared_courses(history, overlaps, learners)
+    courses = {}
+    for s, c, _, _ in rows:
+        courses.setdefault(s, set()).add(c)
+    asked = {frozenset(c) for c in courses.values()}
+    by_intersection = by_set = 0
+    for s, c, _, n in rows:
+        if n:
+            by_intersection += len({frozenset(courses[s] & t) for t in asked if c in t})
+            by_set += sum(c in t for t in asked)
+    assert cells.count() == by_intersection < by_set / 3
+
+
+@pytest.mark.parametrize("pairs, held", [(2_000_000, 8_000_000), (7, 40), (50, 10)])
+def test_sparse_gram_is_the_dense_one(monkeypatch, pairs, held):
+    monkeypatch.setattr(collab_module, "PAIRS", pairs)
+    monkeypatch.setattr(collab_module, "HELD", held)
+    draw = np.random.default_rng(3)
+    m = draw.integers(0, 4, (30, 12)) * (draw.random((30, 12)) < 0.4)
+    m = m[m.any(1)]
+    row, column = np.nonzero(m)
+    want = m.T @ (m / np.linalg.norm(m, axis=1, keepdims=True))
+    for gram in (collab_module.sparse_gram, collab_module.dense_gram):
+        got = np.zeros(12 * 12)
+        for codes, values in gram(row, column, m[row, column].astype(float), 12):
+            got[codes] += values
+        assert got.reshape(12, 12) == pytest.approx(want)
+
+
+def test_gram_of_100000_resources_stays_small(monkeypatch):
+    monkeypatch.setattr(collab_module, "PAIRS", 200_000)
+    monkeypatch.setattr(collab_module, "HELD", 400_000)
+    draw = np.random.default_rng(4)
+    row = np.repeat(np.arange(4000), 25)
+    column = draw.integers(0, 100_000, len(row))
+    portions = [len(codes) for codes, _ in collab_module.sparse_gram(row, column, np.ones(len(row)), 100_000)]
+    assert max(portions) <= 400_000 + 200_000 + 25 and sum(portions) >= 2_000_000

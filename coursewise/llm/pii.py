@@ -10,12 +10,15 @@ the span and its surroundings, again from counts of feature patterns. Candidates
 added to the base spans.
 
 Positions: the pieces between matches (``split``) and the matches (``regexp_extract_all``) add up
-to the text, so running lengths in code points give the spans.
+to the text, so running lengths in code points give the spans. Running values are built in blocks
+(``running``) and texts are cut in blocks (``redact``), so a text with hundreds of thousands of matches
+takes time in proportion to them.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -47,8 +50,43 @@ ADDED = ("email", "secret", "id", "phone")
 CONTEXT = 40  # code points kept before a candidate
 
 Text = Column
+BLOCK = 512  # elements of an array whose running values are built together
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def in_blocks(values: Column, of_block: Callable[[Column], Column]) -> Column:
+    """``of_block`` of each BLOCK elements of a bound array, in order."""
+    count = F.ceil(F.size(values) / BLOCK).cast("int")
+    numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(numbers, lambda b: of_block(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))))
+
+
+def running(values: Column, merge: Callable[[Column, Column], Column], start: int) -> Column:
+    """The running values of an array of ints, each element merged into what came before it.
+
+    An append copies what is there, so a block is run through on its own from the value that the
+    blocks before it end with.
+    """
+
+    def walk(block: Column, first: Column) -> Column:
+        none = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            return let(merge(acc["at"], x), lambda at: F.struct(at.alias("at"), F.concat(acc["out"], F.array(at)).alias("out")))
+
+        return F.aggregate(block, none, step, lambda acc: acc["out"])
+
+    def whole(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(start), merge))
+        before = let(totals, lambda t: F.concat(F.array(F.lit(start)), F.flatten(in_blocks(t, lambda part: part))))
+        firsts = let(before, lambda t: walk(t, F.lit(start)))
+        return F.flatten(F.zip_with(blocks, F.slice(firsts, 1, F.size(blocks)), walk))
+
+    return let(values, lambda v: let(in_blocks(v, lambda block: block), whole))
 
 
 def spans(text: Text, pattern: str, trigger: str) -> Column:
@@ -56,19 +94,24 @@ def spans(text: Text, pattern: str, trigger: str) -> Column:
 
     A text without the ``trigger`` has no match; most texts are spared the dearer patterns so.
     """
-    gaps = F.split(text, pattern, -1)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     none = F.array().cast("array<struct<start:int,end:int,value:string,before:string>>")
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        before = F.right(x["gap"], F.lit(CONTEXT))
-        span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"), before.alias("before"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+    def pairs(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        return F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
+
+    def placed_pairs(matched: Column) -> Column:
+        ends = running(F.transform(matched, lambda x: F.length(x["gap"]) + F.length(x["value"])), lambda a, x: a + x, 0)
+        return F.zip_with(
+            matched,
+            ends,
+            lambda x, end: F.struct(
+                (end - F.length(x["value"])).alias("start"), end.alias("end"), x["value"].alias("value"),
+                F.right(x["gap"], F.lit(CONTEXT)).alias("before"),
+            ),
+        )
 
-    pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    walked = let(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pairs), placed_pairs)
     return F.when(text.rlike(trigger), walked).otherwise(none)
 
 
@@ -224,15 +267,40 @@ def train(found: DataFrame) -> list[float]:
     return fit_classifier([(f, posterior[v], float(n)) for v, f, n in rows])
 
 
+def clear_of(found: Column, base: Column) -> Column:
+    """The elements of ``found`` that overlap no span of ``base``; both are sorted by start.
+
+    In the order of all starts, what ends last before a candidate and what starts first after it
+    are running values.
+    """
+    none = 2**31 - 1
+    of_base = F.transform(base, lambda x: F.struct(x["start"].alias("start"), F.lit(0).alias("n"), x["end"].alias("end")))
+
+    def marked(both: Column) -> Column:
+        last = running(F.transform(both, lambda x: F.when(x["n"] == 0, x["end"]).otherwise(-1)), lambda a, x: F.greatest(a, x), -1)
+        backwards = F.transform(F.reverse(both), lambda x: F.when(x["n"] == 0, x["start"]).otherwise(none))
+        following = F.reverse(running(backwards, lambda a, x: F.least(a, x), none))
+        around = F.zip_with(last, following, lambda a, b: F.struct(a.alias("last"), b.alias("next")))
+        free = F.zip_with(both, around, lambda x, y: F.struct((x["n"] - 1).alias("n"), ((x["n"] > 0) & (y["last"] <= x["start"]) & (y["next"] >= x["end"])).alias("free")))
+        return F.transform(F.array_sort(F.filter(free, lambda x: x["n"] >= 0)), lambda x: x["free"])
+
+    def kept(held: Column) -> Column:
+        numbered = F.transform(held, lambda x, i: F.struct(x["start"].alias("start"), (i + 1).alias("n"), x["end"].alias("end")))
+        free = let(F.array_sort(F.concat(of_base, numbered)), marked)
+        pairs = F.zip_with(held, free, lambda x, f: F.struct(x.alias("x"), f.alias("free")))
+        return F.transform(F.filter(pairs, lambda p: p["free"]), lambda p: p["x"])
+
+    return F.when((F.size(found) > 0) & (F.size(base) > 0), let(found, kept)).otherwise(found)
+
+
 def accepted(found: Column, base: Column, weights: list[float]) -> Column:
     """Candidates the classifier accepts that overlap no base span."""
 
     def good(x: Column) -> Column:
         parts = [F.when(F.substring(x["features"], i + 1, 1) == "1", w).otherwise(0.0) for i, w in enumerate(weights[1:])]
-        free = ~F.exists(base, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"]))
-        return (reduce(lambda a, b: a + b, parts, F.lit(weights[0])) >= 0) & free
+        return reduce(lambda a, b: a + b, parts, F.lit(weights[0])) >= 0
 
-    return F.filter(found, good)
+    return clear_of(F.filter(found, good), base)
 
 
 def placed(arrays: dict[str, Column], order: tuple[str, ...]) -> Column:
@@ -284,27 +352,46 @@ def pii_table(docs: DataFrame) -> DataFrame:
 
 def redact(text: Text, ordered: Column) -> Column:
     """The text with each span replaced by its kind; what overlaps an earlier span goes with it."""
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        fresh = x["start"] + 1 >= acc["at"]
-        gap = F.substr(text, acc["at"], x["start"] + 1 - acc["at"])
-        label = F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))
-        out = F.when(fresh, F.concat(acc["out"], F.array(gap, label))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["end"] + 1).alias("at"), out.alias("out"))
+    def cut(text: Column, first: Column, end: Column) -> Column:
+        return F.substr(text, first + 1, end - first)
+
+    def block_text(block: Column) -> Column:
+        low = F.get(block, F.lit(0))["after"]
+        part = cut(text, low, F.element_at(block, -1)["start"])  # a block's text is cut once from the whole
+        join = lambda part, low: F.transform(
+            block, lambda x: F.concat(cut(part, x["after"] - low, x["start"] - low), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+        )
+        return let(F.struct(part.alias("part"), low.alias("low")), lambda p: F.array_join(join(p["part"], p["low"]), ""))
+
+    def whole(spans: Column) -> Column:
+        ends = running(F.transform(spans, lambda x: x["end"]), lambda a, x: F.greatest(a, x), 0)
+
+        def replaced(ends: Column) -> Column:
+            before = F.concat(F.array(F.lit(0)), F.slice(ends, 1, F.size(ends) - 1))
+            kept = F.filter(
+                F.zip_with(spans, before, lambda x, a: F.struct(a.alias("after"), x["start"].alias("start"), x["kind"].alias("kind"))),
+                lambda x: x["start"] >= x["after"],
+            )
+            body = let(kept, lambda k: F.array_join(in_blocks(k, block_text), ""))
+            return F.concat(body, cut(text, F.element_at(ends, -1), F.length(text)))
+
+        return let(ends, replaced)
 
-    whole = F.aggregate(ordered, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"], F.length(text))))
-    return F.when(F.size(ordered) > 0, whole).otherwise(text)
+    return F.when(F.size(ordered) > 0, let(ordered, whole)).otherwise(text)
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
     """The documents in their own columns, spans replaced by their kinds, n_chars adjusted if there."""
     weights = train(found_spans(docs).select("candidates"))
     text = F.coalesce("text", F.lit(""))
-    marked = docs.withColumn("__base", placed(base_spans(text), KINDS)).withColumn("__found", candidates(text))
-    clean = redact(F.col("text"), all_spans(F.col("__base"), F.col("__found"), weights))
-    out = marked.withColumn("text", F.when(F.col("text").isNotNull(), clean)).drop("__base", "__found")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # whatever the columns are called
+    marked = docs.select(row, placed(base_spans(text), KINDS).alias("base"), candidates(text).alias("found"))
+    spans_of_row = all_spans(F.col("base"), F.col("found"), weights)
+    clean = F.when(F.col("row.text").isNotNull(), redact(F.col("row.text"), spans_of_row))
+    out = marked.select("row", clean.alias("clean"))
+    changed = {"text": F.col("clean")}
     if "n_chars" in docs.columns:
-        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.coalesce(changed, F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        length = F.length("clean").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.coalesce(length, F.col("row.n_chars"))
+    return out.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -322,3 +322,77 @@ def test_language(docs):
             far = {k: sum(abs(p[g] - n) if g in p else 400 for n, g in enumerate(own)) for k, p in profiles.items()}
             best = min(sorted(far), key=far.get)
             assert got[i] == (best, pytest.approx(1 - far[best] / (400 * len(own))))
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (2 if i % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def brute_spans(text):
+    """Base spans by kind as the contract states them, with Python's regular expressions."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+    digits = lambda v: re.sub("[^0-9]", "", v)
+    holds = {
+        "email": lambda v: True, "ip": lambda v: all(int(p) <= 255 for p in v.split(".")),
+        "card": lambda v: 12 <= len(digits(v)) <= 19 and luhn(digits(v)), "phone": lambda v: 9 <= len(digits(v)) <= 15,
+    }
+    return {k: [m.span() for m in re.finditer(p, text) if holds[k](m.group())] for k, p in patterns.items()}
+
+
+def test_pii_base_spans_of_random_texts(spark):
+    rng = np.random.default_rng(8)
+    atoms = ["a", "Z.", "9", "0", "12", "255", "256", ".", ".", "@", "@b", "-", " ", "+", "+1", "(", ")", "4111 1111", " 1111 1111", "é", "\U0001f600", "x@y.z", "\n", "%", "1.2.3"]
+    texts = ["".join(rng.choice(atoms, rng.integers(0, 40))) for _ in range(2500)] + ["4111111111111111 5500-0000-0000-0004 +44 20 7946 0958"]
+    rows = pii.pii_table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    found = 0
+    for r in rows:
+        want = brute_spans(texts[r.doc_id])
+        found += sum(map(len, want.values()))
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(len(want[k]) for k in pii.KINDS), texts[r.doc_id]
+        ordered = sorted((s, pii.KINDS.index(k), e, k) for k, spans in want.items() for s, e in spans)
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, _, e, k in ordered).encode()).hexdigest()
+    assert found > 500
+
+
+def test_pii_many_matches_and_clashing_columns(spark):
+    n = 200_000
+    texts = {1: "ab 12 " * n, 2: "a 1.2.3.4 " * (n // 2), 3: "é tel 555 123-4567, x@y.org " * (n // 10), 4: "call"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    docs = docs.withColumn("__base", F.lit(1)).withColumn("base", F.lit(2)).withColumn("row", F.lit(3)).withColumn("found", F.lit(4))
+    rows = {r.doc_id: r for r in pii.pii_table(docs).collect()}
+    assert rows[2].n_ip == n // 2 and rows[1].n_card == 0 and rows[3].n_email == n // 10
+    want = brute_spans(texts[2])["ip"]
+    assert rows[2].base_sha256 == hashlib.sha256(",".join(f"ip:{s}:{e}" for s, e in want).encode()).hexdigest()
+    clean = {r.doc_id: r for r in pii.redact_documents(docs).collect()}
+    assert clean[1].text == texts[1] and clean[2].text == "a [IP] " * (n // 2) and clean[4].text == "call"
+    assert clean[3].text.count("[EMAIL]") == n // 10 and clean[3].text.count("é") == n // 10 and "@" not in clean[3].text
+    assert (clean[1]["__base"], clean[1].base, clean[1]["row"], clean[1].found) == (1, 2, 3, 4)
+
+
+def test_overlaps_and_redaction_against_plain_python(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choice(list("abé\U0001f600 "), 3000))
+        draw = lambda n: sorted((int(s), int(s + rng.integers(1, 6))) for s in rng.integers(0, 2990, n))  # noqa: E731, B023
+        rows.append((text, draw(rng.integers(0, 700)), draw(rng.integers(0, 700))))
+    kind = "array<struct<start:int,end:int>>"
+    frame = spark.createDataFrame(rows, f"text string, base {kind}, found {kind}")
+    spans = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit("ip").alias("kind")))
+    out = frame.select("*", pii.clear_of(F.col("found"), F.col("base")).alias("clear"), pii.redact(F.col("text"), spans).alias("redacted"))
+    for r in out.collect():
+        base, found = ([tuple(x) for x in c] for c in (r.base, r.found))
+        assert [tuple(x) for x in r.clear] == [(s, e) for s, e in found if not any(s < b and a < e for a, b in base)]
+        at, parts = 0, []
+        for s, e in base:
+            if s >= at:
+                parts += [r.text[at:s], "[IP]"]
+            at = max(at, e)
+        assert r.redacted == "".join(parts) + r.text[at:]

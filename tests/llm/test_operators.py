@@ -1,7 +1,9 @@
 """Small tables with nulls, empty texts, ties, repeats and clashing columns, against brute force."""
 
 import hashlib
+import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -262,7 +264,7 @@ def test_names_alone_drop_no_content(spark):
     page = "<article><h1>T{0}</h1><p class='notice'>Notice {0}</p><div class='ad'>Buy <p>this</p></div></article>"
     rows += [(10 + i, f"http://h/{i}", page.format(i)) for i in range(6)] + [(20, "http://few/", page.format(20))]
     got = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    want = {i: "A\n\nB" for i in range(4)} | {10 + i: f"T{i}\n\nNotice {i}" for i in range(6)} | {20: "T20"}
+    want = {i: "A\n\nB" for i in range(4)} | {10 + i: f"T{i}" for i in range(6)} | {20: "T20"}  # notices and adverts are no main text
     assert got == want
 
 
@@ -324,6 +326,55 @@ def test_language(docs):
             assert got[i] == (best, pytest.approx(1 - far[best] / (400 * len(own))))
 
 
+BROKEN = (
+    "<![foo[bar]]>", "<![if x]>", "<![CDATA[a<b]]>", "<!doctype", "<!", "<!--", "<!-->", "<!--a--!>", "<?x", "</", "</p", "<a b='", "<a ", "<", "&", "&#", "&#x;", "&amp",
+    "<p>", "</p>", "<li>", "</ul>", "<td>", "<article>", "</article>", "<div class='ad'>", "</div>", "<script>", "</script>", "<title>", ">", "x", "\n", "<br/>", "]]>", "-->",
+)
+
+
+def test_broken_markup_raises_no_error():
+    rng = np.random.default_rng(6)
+    for _ in range(4000):
+        html = "".join(rng.choice(BROKEN, rng.integers(1, 25)))
+        html_tree.main_text(html_tree.parse(html), set())
+        html_tree.judged(html_tree.parse(html))
+    text = lambda html: html_tree.main_text(html_tree.parse(html), set())
+    assert text("a<![foo[bar]]>b<!--a--!>c<!-->d<!--->e<![CDATA[x>y]]>f<!-- g") == "abcdef"
+
+
+@pytest.mark.parametrize("unit", ("<div>", "<p><b>", "<li><ul>", "<table><tr><td>", "<a ", "</", "<!", "<!--", "<?", "&", "<span class='x y'>", "<article>", "<p><table><tr><td><hr>"))
+def test_100000_unclosed_tags_take_seconds(unit):
+    html = "<body>one" + unit * 100_000 + "two</p></span>"
+    start = time.perf_counter()
+    root = html_tree.parse(html)
+    html_tree.judged(root)
+    assert html_tree.main_text(root, set()).startswith(("one", "two"))
+    assert time.perf_counter() - start < 20
+
+
+def test_named_branches_go_on_every_site(spark):
+    aside = "<div class='comments'>Said {0}<article class='comment'>Reply {0}</article></div><div class='ad'>Buy {0}</div><div id='sidebar'>See {0}</div><p class='cookie-notice'>Cookies {0}</p>"
+    plain = f"<body><div class='story'><p>Story {{0}}</p>{aside}</div><div class='has-sidebar no-ads share-price'>Price {{0}}</div>{aside}</body>"
+    inside = f"<body>{aside}<article><h1>T{{0}}</h1><p>Story {{0}}</p>{aside}</article><form class='comments'><main>Main {{0}}</main></form></body>"
+    rows = [(i, f"http://plain/{i}", plain.format(i)) for i in range(20)] + [(100 + i, f"http://inside/{i}", inside.format(i)) for i in range(20)]
+    rows += [(200, "http://few/", plain.format(200)), (300, "http://odd/", "<p>a<![foo[bar]]>b"), (301, "http://odd/2", "<div>" * 30_000 + "deep")]
+    got = {r.page_id: r.text for r in html_tree.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    want = {i: f"Story {i}\n\nPrice {i}" for i in [*range(20), 200]} | {100 + i: f"T{i}\n\nStory {i}\n\nMain {i}" for i in range(20)}
+    assert got == want | {300: "ab", 301: "deep"}
+
+
+def test_style_tree_against_plain_counts(spark):
+    page = "<body><div class='strap'>Same <b>{1}</b></div><div class='story'><p>Story {0}</p></div><section>{2}</section></body>"
+    htmls = [page.format(i, "on all", "x" if i % 2 else "y") for i in range(8)] + [page.format(0, "on all", "y")]
+    rows = [(i, "http://h/", h) for i, h in enumerate(htmls)]
+    tree = html_tree.importance(html_tree.style_tree(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)))
+    got = sorted((r.pages, round(r.importance, 9)) for r in tree.collect())
+    share = html_tree.PRESENTATION_SHARE
+    entropy = lambda counts: -sum(c / 8 * math.log(c / 8, 8) for c in counts)
+    halves = (1 - share) * entropy([4, 4])
+    assert got == sorted((8, round(x, 9)) for x in (0, 1 - share, 1 - share, halves))  # strap, story, story's p, section
+
+
 def luhn(digits):
     total = 0
     for i, d in enumerate(reversed(digits)):

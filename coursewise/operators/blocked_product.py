@@ -38,9 +38,12 @@ def blocked_product(
 ) -> DataFrame:
     """Positive scores of unused items: id_student, ``detail`` columns, raw_score.
 
-    With ``best``, a block that holds all of a learner's items leaves out those that cannot
-    be among the ``best`` of their course. Scores within the rounding of the final ranking
-    of the last place stay, so the ranking of what is left decides as it would on all rows.
+    With ``best``, a block leaves out items that cannot be among a learner's ``best`` of their
+    course, as that many of the block surely rank higher. Scores within the rounding of the final
+    ranking of the last place stay, so the ranking of what is left decides as it would on all
+    rows. How wide that rounding is follows from the learner's best score over all blocks, for
+    which a block takes an upper bound: the sum of the learner's weights times the largest weight
+    of the course set's items. So every block prunes, whatever their number.
 
     learner_rows: course_set, id_student, feature, weight, used_site. A row with a feature
     is an entry of the learner's vector, a row with a used_site masks that item.
@@ -55,6 +58,11 @@ def blocked_product(
             F.ceil(F.col("n_entries") / ENTRIES_PER_BLOCK),
         ).alias("item_blocks"),
     )
+    if best is not None:
+        largest = item_rows.groupBy("course_set").agg(F.max(F.array_max("weights")).alias("largest"))
+        blocks = blocks.join(largest, "course_set")
+    else:
+        blocks = blocks.withColumn("largest", F.lit(0.0))
     last = lambda column: F.sequence(F.lit(0), (F.col(column) - 1).cast("int"))
     keys = ["course_set", "learner_block", "item_block"]
     # the alias tells the two sides apart when both come from one course-set table
@@ -74,7 +82,7 @@ def blocked_product(
         *detail,
         "features",
         "weights",
-        "item_blocks",
+        "largest",
     )
     kinds = {f.name: f for f in item_rows.schema}
     schema = StructType(
@@ -129,8 +137,9 @@ def _block_scores(
             mask[row[masked][hit], place[hit]] = True
             scores[mask[:, column]] = 0.0
         keep = scores > 0
-        if best is not None and items.num_rows and items["item_blocks"][0].as_py() == 1:
-            slack = tolerance * scores.max(axis=1, keepdims=True)
+        if best is not None and items.num_rows:
+            total = np.bincount(row, weights=np.where(pc.is_valid(learners["feature"]).to_numpy(), np.abs(weight), 0.0))
+            slack = tolerance * total[:, None] * items["largest"][0].as_py()
             names = pc.binary_join_element_wise(*[items[c] for c in course], "\x1f")
             codes = names.combine_chunks().dictionary_encode().indices.to_numpy()
             for code in np.unique(codes):

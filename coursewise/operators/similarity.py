@@ -69,14 +69,25 @@ def pair_similarity(
     left: str,
     right: str,
 ) -> DataFrame:
-    """Cosine of the given pairs of rows; pairs without a shared feature get 0."""
-    units = unit_rows(entries, group, row, feature, value)
-    a = units.select(*group, F.col(row).alias(left), feature, F.col("unit").alias("a"))
-    b = units.select(*group, F.col(row).alias(right), feature, F.col("unit").alias("b"))
+    """Cosine of the given pairs of rows; pairs without a shared feature get 0.
+
+    Only rows that a pair names are read. Of a pair the left row's entries meet the right row's on
+    (pair, feature); dot products are divided by the norms of both rows at the end. Pairs are to be
+    distinct.
+    """
+    names = lambda c: pairs.select(*group, F.col(c).alias(row))
+    named = entries.join(names(left).union(names(right)).distinct(), [*group, row], "left_semi")
+    norms = named.groupBy(*group, row).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("norm"))
+    side = lambda c, v: named.select(*group, F.col(row).alias(c), feature, F.col(value).alias(v))
     dots = (
-        pairs.join(a, [*group, left])
-        .join(b, [*group, right, feature])
+        pairs.select(*group, left, right)
+        .join(side(left, "left_value"), [*group, left])
+        .join(side(right, "right_value"), [*group, right, feature])
         .groupBy(*group, left, right)
-        .agg(F.sum(F.col("a") * F.col("b")).alias("similarity"))
+        .agg(F.sum(F.col("left_value") * F.col("right_value")).alias("dot"))
+    )
+    length = lambda c, n: norms.select(*group, F.col(row).alias(c), F.col("norm").alias(n))
+    cosine = dots.join(length(left, "left_norm"), [*group, left]).join(length(right, "right_norm"), [*group, right]).select(
+        *group, left, right, F.try_divide(F.col("dot"), F.col("left_norm") * F.col("right_norm")).alias("similarity")
     )
-    return pairs.join(dots, [*group, left, right], "left").fillna(0.0, subset=["similarity"])
+    return pairs.join(cosine, [*group, left, right], "left").fillna(0.0, subset=["similarity"])

@@ -20,6 +20,7 @@ from coursewise.schemas import (
 from coursewise.sources.staging import staged
 
 SEED = 10
+DRAW_SLICES = 4096
 
 
 def evaluated_learner_courses(
@@ -99,22 +100,26 @@ def create_ml_dataset(
 def sample_training_data(dataset: DataFrame, sample_size: int = 5000) -> DataFrame:
     """An exact-size sample that keeps the share of every target value.
 
-    Rows are taken in order of a draw seeded by their keys; each class is a distributed
-    top-n, never a sort of the class in one task.
+    Rows are taken in order of a draw seeded by their keys. Counts by class and slice of the draw
+    give the slice in which a class's quota ends; rows of earlier slices are kept by a filter and
+    only that slice is ordered, so no task sees a class and any size will do.
     """
     keys = [c for c in ("fold", *LEARNER_COURSE, "id_site") if c in dataset.columns]
-    drawn = dataset.withColumn("draw", seeded_uniform(SEED, *keys))
-    counts = {row["target"]: row["count"] for row in dataset.groupBy("target").count().collect()}
+    draw = seeded_uniform(SEED, *keys)
+    drawn = dataset.withColumn("draw", draw).withColumn("slice", F.floor(draw * DRAW_SLICES).cast("int"))
+    slices = staged(drawn.groupBy("target", "slice").agg(F.count(F.lit(1)).alias("n")), "draw_slices")
+    counts = {row["target"]: row["n"] for row in slices.groupBy("target").agg(F.sum("n").alias("n")).collect()}
     if not 0 < sample_size < sum(counts.values()):
         raise ValueError("The sample must be smaller than the dataset and not empty")
-    parts = [
-        drawn.where(F.col("target") == value).orderBy("draw", *keys).limit(quota)
-        for value, quota in largest_remainder(counts, sample_size).items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.drop("draw")
+    quotas = largest_remainder(counts, sample_size)
+    quota = F.element_at(F.create_map(*[F.lit(x) for pair in quotas.items() for x in pair]), F.col("target"))
+    before = Window.partitionBy("target").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    due = quota - F.coalesce(F.sum("n").over(before), F.lit(0))  # DRAW_SLICES rows a class
+    wanted = slices.withColumn("due", due).where("due > 0").select("target", "slice", "due", (F.col("due") < F.col("n")).alias("cut"))
+    held = drawn.join(wanted, ["target", "slice"])
+    place = F.row_number().over(Window.partitionBy("target", "slice").orderBy("draw", *keys))
+    cut = held.where("cut").withColumn("place", place).where(F.col("place") <= F.col("due"))
+    return held.where("not cut").select(*dataset.columns).unionByName(cut.select(*dataset.columns))
 
 
 def model_input(dataset: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -467,7 +467,20 @@ SELECT {LC}, id_site, position,
             WHEN 0.2 * content_score >= 0.4 * collaborative_score
             THEN 'This resource was recommended because it is similar to other interacted-with resources'
             ELSE 'This resource was recommended because it is used by similar students' END AS explanation
-FROM hybrid JOIN best USING (fold, id_student, code_module, code_presentation, id_site) WHERE recommender = 'hybrid'""")
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY {LC} ORDER BY round(hybrid_score, 9) DESC, id_site) AS position
+  FROM hybrid QUALIFY position <= 20)""")
+    q["pair_similarity"] = _scored("""
+, clicked AS (
+  SELECT course_set, id_site AS site, sum(clicks) AS clicks FROM (
+    SELECT s.course_set, h.id_site, h.clicks
+    FROM hist h JOIN sets s USING (fold, id_student)
+    SEMI JOIN catalogue c ON c.course_set = s.course_set AND c.id_site = h.id_site) GROUP BY ALL),
+favourite AS (
+  SELECT course_set, site FROM clicked QUALIFY row_number() OVER (PARTITION BY course_set ORDER BY clicks DESC, site) = 1)
+SELECT f.course_set, f.site AS id_site, c.id_site AS other, round(coalesce(p.cosine, 0), 6) AS similarity
+FROM favourite f JOIN catalogue c ON c.course_set = f.course_set
+LEFT JOIN resource_pairs p ON p.course_set = f.course_set AND p.site = f.site AND p.other = c.id_site""")
     # evaluation
     q["evaluated_learner_courses"] = _scored(
         f"SELECT {LC} FROM lc SEMI JOIN fut USING (fold, {LC})")

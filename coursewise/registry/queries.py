@@ -25,7 +25,7 @@ from coursewise.operators.interactions import (
 from coursewise.operators.learners import course_sets, learner_profiles
 from coursewise.operators.mixing import hybrid_scores, score_table
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
-from coursewise.operators.similarity import shared_similarity, total_similarity
+from coursewise.operators.similarity import pair_similarity, shared_similarity, total_similarity
 from coursewise.plans import features, profile
 from coursewise.plans.candidates import (
     create_ml_dataset,
@@ -393,6 +393,25 @@ def resource_similarity(spark, sf_dir):
     return rounded(named_course_sets(total, profiles))
 
 
+def pair_similarity_to_favourite(spark, sf_dir):
+    """Cosine of every resource's text to the most clicked one of each course set."""
+    history, resources, profiles = history_of(spark, sf_dir)
+    catalogue = staged(catalogue_by_course_set(staged(resources, "resources"), course_sets(profiles)), "catalogue")
+    entries = catalogue.select("course_set", "id_site", "resource_text").join(
+        text_vectors(catalogue), ["course_set", "resource_text"]
+    )
+    clicks = (
+        history.join(profiles.select("id_student", "course_set"), "id_student")
+        .join(catalogue.select("course_set", "id_site"), ["course_set", "id_site"], "left_semi")
+        .groupBy("course_set", "id_site")
+        .agg(F.sum("total_resource_clicks").alias("clicks"))
+    )
+    favourite = clicks.groupBy("course_set").agg(F.min(F.struct((-F.col("clicks")).alias("minus"), "id_site"))["id_site"].alias("id_site"))
+    pairs = favourite.join(catalogue.select("course_set", F.col("id_site").alias("other")), "course_set")
+    similar = pair_similarity(staged(pairs, "pairs"), entries, ["course_set"], "id_site", "term", "weight", "id_site", "other")
+    return rounded(named_course_sets(similar, profiles))
+
+
 # evaluation
 
 
@@ -768,6 +787,7 @@ def registered() -> dict[str, Query]:
         "document_similarity": document_similarity,
         "learner_similarity": learner_similarity,
         "resource_similarity": resource_similarity,
+        "pair_similarity": pair_similarity_to_favourite,
         "evaluated_learner_courses": evaluated,
         "relevant_items": relevant,
         "hits_at_k": hits_at_k,

@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from coursewise.functions.scores import f1, precision_at, recall
+from coursewise.functions.scores import f1, precision_at, recall, seeded_uniform
 from coursewise.operators.ranks import exact_quantiles, largest_remainder, running_totals
+from coursewise.plans import candidates
 from coursewise.plans.candidates import (
     create_ml_dataset,
     evaluated_learner_courses,
@@ -165,3 +166,16 @@ def test_profiles(spark, tables):
     assert bins[0] == 3 and bins[1] == 1 and bins[9] == 1 and len(bins) == 10
     box = boxplot_stats(rows, "v").first()
     assert (box.q1, box.median, box.q3, box.upper_whisker, box.outliers) == (1, 2, 10, 10, 1)
+
+
+@pytest.mark.parametrize("slices", (1, 5, 4096))
+def test_quotas_are_exact_whatever_the_slices(spark, monkeypatch, slices):
+    monkeypatch.setattr(candidates, "DRAW_SLICES", slices)
+    rows = [(s, "A", "P", i, int(i % 7 == 0)) for s in range(20) for i in range(50)]
+    dataset = spark.createDataFrame(rows, "id_student long, code_module string, code_presentation string, id_site long, target int")
+    drawn = dataset.withColumn("draw", seeded_uniform(candidates.SEED, "id_student", "code_module", "code_presentation", "id_site")).collect()
+    for size in (1, 333, 999):
+        got = candidates.sample_training_data(dataset, size).collect()
+        quotas = largest_remainder({t: sum(r.target == t for r in drawn) for t in (0, 1)}, size)
+        want = {(r.id_student, r.id_site) for t in (0, 1) for r in sorted((r for r in drawn if r.target == t), key=lambda r: r.draw)[: quotas[t]]}
+        assert {(r.id_student, r.id_site) for r in got} == want and len(got) == size

@@ -12,6 +12,7 @@ from coursewise.operators.collaborative import collaborative_scores
 from coursewise.operators.content import content_scores
 from coursewise.operators.learners import course_sets, learner_profiles
 from coursewise.operators.mixing import hybrid_scores, score_table, source_scores
+from coursewise.operators.similarity import pair_similarity
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
 from coursewise.schemas import ITEM, LEARNER_COURSE
 from coursewise.sources.staging import staged
@@ -176,8 +177,9 @@ def test_normalisation_spans_all_courses(interactions_of):
     assert scores == {(1, 2): 0.25, (1, 12): 1.0}
 
 
-@pytest.mark.parametrize("k", [1, 3])
-def test_pruned_lists_give_the_same_best(interactions_of, k):
+@pytest.mark.parametrize("k, items_per_block", [(1, 2048), (3, 2048), (1, 6), (3, 10)])
+def test_pruned_lists_give_the_same_best(interactions_of, monkeypatch, k, items_per_block):
+    monkeypatch.setattr(blocks, "ITEMS_PER_BLOCK", items_per_block)
     draw = np.random.default_rng(7)
     rows = sorted(
         {
@@ -269,3 +271,17 @@ def test_gram_of_100000_resources_stays_small(monkeypatch):
     column = draw.integers(0, 100_000, len(row))
     portions = [len(codes) for codes, _ in collab_module.sparse_gram(row, column, np.ones(len(row)), 100_000)]
     assert max(portions) <= 400_000 + 200_000 + 25 and sum(portions) >= 2_000_000
+
+
+def test_pair_similarity_against_brute_force(spark):
+    draw = np.random.default_rng(12)
+    m = draw.integers(0, 3, (9, 6))
+    m[4] = 0
+    entries = [("g", i, j, float(m[i, j])) for i in range(9) for j in range(6) if m[i, j]]
+    pairs = [("g", a, b) for a in range(0, 9, 2) for b in range(9)] + [("g", 0, 77)]
+    found = pair_similarity(
+        spark.createDataFrame(pairs, "g string, a int, b int"), spark.createDataFrame(entries, "g string, r int, f int, v double"), ["g"], "r", "f", "v", "a", "b"
+    )
+    norm = lambda i: np.linalg.norm(m[i])
+    cosine = lambda a, b: m[a] @ m[b] / (norm(a) * norm(b)) if b < 9 and norm(a) and norm(b) else 0.0
+    assert {(r.a, r.b): r.similarity for r in found.collect()} == pytest.approx({(a, b): cosine(a, b) for _, a, b in pairs})

@@ -1,19 +1,27 @@
+import json
+
 import pytest
+from pyspark.sql import functions as F
 
-from coursewise.plans.recommend import serving_tables
-from coursewise.schemas import RAW_TABLES, STUDENT_REGISTRATION
+from coursewise.plans.recommend import ml_datasets, run_baseline_holdout, serving_tables
+from coursewise.schemas import INTERACTIONS, ITEM, RAW_TABLES, STUDENT_REGISTRATION, ServingTables
 from coursewise.sources.staging import memoised, parameter_path
 from coursewise.sources.tables import (
     compare_models,
     read_csv_table,
+    read_ml_datasets,
     read_processed,
     read_raw_tables,
     read_serving_tables,
     read_summary,
+    recommendation_records,
     save_summary,
     summary_versions,
     upsert_summary,
+    write_ml_datasets,
     write_processed,
+    write_recommendations,
+    write_results,
     write_serving_tables,
 )
 
@@ -95,3 +103,53 @@ def test_summary_upsert(spark, tmp_path):
     assert summary_versions(spark, folder) == [1, 2]
     both = compare_models({"x": first.where("recommender = 'a'"), "y": second.where("recommender = 'b'")})
     assert {(r.recommender, r.f1) for r in both.collect()} == {("x", 0.3), ("y", 1.0)}
+
+
+def test_serving_files_follow_the_rows_of_a_course(spark, tables, tmp_path):
+    history = spark.range(10_000).select(
+        F.pmod("id", F.lit(700)).alias("id_student"),
+        F.when(F.col("id") < 9000, "A").when(F.col("id") < 9900, "B").otherwise("C").alias("code_module"),
+        F.lit("0123").alias("code_presentation"),
+        F.col("id").alias("id_site"),
+        F.lit("url").alias("activity_type"),
+        *[F.lit(1).cast(f.dataType).alias(f.name) for f in INTERACTIONS.fields if f.name not in (*ITEM, "id_student")],
+    ).select(INTERACTIONS.names)
+    serving = ServingTables(history, tables.student_data, tables.resource_data)
+    write_serving_tables(serving, str(tmp_path), rows_per_file=500)
+    files = {}
+    for path in (tmp_path / "history_interactions").rglob("*.parquet"):
+        files.setdefault(path.parent.parent.name, []).append(spark.read.parquet(str(path)).count())
+    assert {k: len(v) for k, v in files.items()} == {"code_module=A": 18, "code_module=B": 2, "code_module=C": 1}
+    large = files["code_module=A"] + files["code_module=B"]
+    assert max(large) < 4 * min(large) and sum(map(sum, files.values())) == 10_000
+    again = read_serving_tables(spark, str(tmp_path)).history_interactions
+    assert again.where("code_presentation = '0123'").count() == 10_000
+
+
+def test_ml_datasets_round_trip(spark, tables, tmp_path):
+    training, test = ml_datasets(tables, 1, 3, 5)
+    write_ml_datasets(training, test, str(tmp_path))
+    for written, read in zip((training, test), read_ml_datasets(spark, str(tmp_path)), strict=True):
+        assert read.schema["disability"].dataType == written.schema["disability"].dataType
+        assert rows(read.select(written.columns)) == rows(written)
+
+
+def test_results_are_written_by_recommender(spark, tables, tmp_path):
+    results, summary = run_baseline_holdout(tables, 1, 2, str(tmp_path / "summary"))
+    write_results(results, str(tmp_path / "results"))
+    again = spark.read.parquet(str(tmp_path / "results"))
+    assert rows(again.select(results.columns)) == rows(results)
+    assert (tmp_path / "results" / "recommender=hybrid").is_dir()
+    assert rows(read_summary(spark, str(tmp_path / "summary"))) == rows(summary)
+
+
+@pytest.mark.parametrize("form", ("parquet", "csv"))
+def test_recommendations_are_written(spark, tmp_path, form):
+    schema = "id_student long, code_module string, code_presentation string, id_site long, ML_score double, explanation string"
+    best = spark.createDataFrame([(1, "A", "P", 7, 0.5, "often, used"), (1, "A", "P", 9, 0.25, 'so "similar"')], schema)
+    write_recommendations(best, str(tmp_path / "out"), form)
+    reader = spark.read.schema(schema)
+    again = reader.parquet(str(tmp_path / "out")) if form == "parquet" else reader.option("header", True).option("escape", '"').csv(str(tmp_path / "out"))
+    assert {(r.id_site, r.ML_score) for r in again.collect()} == {(7, 0.5), (9, 0.25)}
+    [record] = recommendation_records(best).collect()
+    assert [r["id_site"] for r in json.loads(record.records)] == [7, 9]

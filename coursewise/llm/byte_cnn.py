@@ -143,16 +143,14 @@ def fit_network(texts: list[bytes], labels: np.ndarray, seed: int = 1, epochs: i
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, train_bytes: int = TRAIN_BYTES) -> Network:
-    """Fit on about ``train_rows`` rows of either class that are not held out.
+    """Fit on at most ``train_rows`` different rows of either class that are not held out.
 
     The bound on the driver is train_rows * 2 documents of at most ``train_bytes`` bytes.
     """
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("label"))
     usable = docs.where(~held_out(F.col("doc_id")) & (F.octet_length("text") <= train_bytes)).select("doc_id", "text")
-    joined = usable.join(known, "doc_id")
-    counts = {label: n for label, n in joined.groupBy("label").count().collect()}
-    parts = [hash_sample(joined.where(F.col("label") == k), F.col("doc_id"), train_rows, counts.get(k, 0)) for k in (0, 1)]
-    rows = sorted((r["label"], r["text"]) for r in parts[0].union(parts[1]).select("label", "text").toLocalIterator())
+    sample = hash_sample(usable.join(known, "doc_id").select("label", "doc_id", "text"), train_rows, "label")
+    rows = sorted((r["label"], r["text"]) for r in sample.select("label", "text").toLocalIterator())
     return fit_network([t.encode() for _, t in rows], np.array([x for x, _ in rows], float))
 
 

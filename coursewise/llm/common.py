@@ -37,8 +37,20 @@ def map_texts(df: DataFrame, schema: str, build: Callable[[pa.RecordBatch], dict
     return df.mapInArrow(run, schema)
 
 
-def hash_sample(df: DataFrame, key: Column, size: int, rows: int) -> DataFrame:
-    """About ``size`` of ``rows`` rows, the same ones on every run: those whose key hashes low."""
-    if rows <= size:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1_000_000)) < int(1_000_000 * size / rows))
+def hash_sample(df: DataFrame, size: int, by: str) -> DataFrame:
+    """At most ``size`` different rows for each value of ``by``, the same ones on every run.
+
+    Rows are drawn by a hash of all their columns, so equal rows are one and an id that repeats with
+    other texts is drawn like any other. The hash thins the table to a little more than is wanted,
+    what is left is made distinct inside the tasks first, and a limit ends it exactly. ``by`` is to
+    have few values, which are listed on the driver.
+    """
+    drawn = df.withColumn("draw", F.xxhash64(F.lit("sample"), *df.columns))
+    counts = drawn.groupBy(by).agg(F.approx_count_distinct("draw", 0.02).alias("n")).collect()
+    out = df.limit(0)
+    for value, n in counts:
+        own = drawn.where(F.col(by).eqNullSafe(F.lit(value)))
+        thinned = own.where(F.pmod("draw", F.lit(1_000_000)) < int(1_200_000 * size / n)) if n > size else own
+        once = thinned.groupBy("draw").agg(F.min(F.struct(*df.columns)).alias("row"))
+        out = out.union(once.orderBy("draw").limit(size).select("row.*"))
+    return out

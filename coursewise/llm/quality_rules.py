@@ -36,7 +36,7 @@ FEATURES = {
     "mark_rate": 0,
     "distinct_rate": 0,
 }
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000  # of a class
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -187,10 +187,10 @@ def fit_forest(
 
 
 def fit_rules(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Forest:
-    """Fit on about ``train_rows`` labelled rows that are not held out (their statistics only)."""
-    known = labels.where("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    """Fit on at most ``train_rows`` different labelled rows of either class that are not held out (their statistics only)."""
+    known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("label"))
     joined = stats.where(~held_out(F.col("doc_id"))).join(known, "doc_id")
-    sample = hash_sample(joined, F.col("doc_id"), train_rows, joined.count())
+    sample = hash_sample(joined.select("label", "doc_id", *COUNTS, *EXTRA), train_rows, "label")
     rows = sample.select("label", *COUNTS, *EXTRA).toPandas()
     x = feature_matrix({n: rows[n].to_numpy(float) for n in [*COUNTS, *EXTRA]})
     order = np.lexsort((*x.T, rows["label"].to_numpy()))  # the fit doesn't depend on the order of rows

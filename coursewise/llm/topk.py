@@ -39,8 +39,16 @@ def whole_vectors(table: DataFrame, scale: int = SCALE) -> DataFrame:
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact products of whole numbers: in doubles while they hold them, else in integers."""
-    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
-    return np.rint(a.astype(float) @ b.T.astype(float)).astype(np.int64) if most < 2**53 else a @ b.T
+    if fits(a, b, 53):
+        return np.rint(a.astype(float) @ b.T.astype(float)).astype(np.int64)
+    if not fits(a, b, 63):
+        raise OverflowError("inner products of these vectors exceed a long")
+    return a @ b.T
+
+
+def fits(a: np.ndarray, b: np.ndarray, bits: int) -> bool:
+    """Whether no inner product of rows can reach 2^bits."""
+    return float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1]) < 2.0**bits
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -89,7 +97,10 @@ def scorer(classes: DataFrame, ids: np.ndarray, queries: np.ndarray):
         for batch in batches:
             if batch.num_rows:
                 place = order[np.searchsorted(ids[order], batch.column("query").to_numpy())]
-                score = (matrix(batch.column("vec"), queries.shape[1]) * queries[place]).sum(1)
+                vec = matrix(batch.column("vec"), queries.shape[1])
+                if not fits(vec, queries, 63):
+                    raise OverflowError("inner products of these vectors exceed a long")
+                score = (vec * queries[place]).sum(1)
                 yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("ids"), pa.array(score)], ["query", "ids", "score"])
 
     def exact(pairs: DataFrame) -> DataFrame:
@@ -103,14 +114,24 @@ def scorer(classes: DataFrame, ids: np.ndarray, queries: np.ndarray):
 def top_k(table: DataFrame, is_query: Column, k: int = K, groups: int = GROUPS) -> DataFrame:
     """(query_id, rank, vec_id, score) of every query's k best other ids, ties to the smaller id.
 
-    Left out: vectors that are null or hold null or non-finite components, and vectors of another
-    length than the longest. A query with fewer than k others gets all of them. Repeated rows of an
-    id count once if their vectors are equal; an id with several vectors queries with the
-    smallest one, and can be found by each.
+    Left out: vectors that are null or hold null or non-finite components. A query is scored
+    against the vectors of its own length, a pass for each length that a query has. A query with
+    fewer than k others gets all of them. Repeated rows of an id count once if their vectors are
+    equal; an id with several vectors queries with the smallest one, and can be found by each.
+    Components whose inner products may exceed a long raise an error.
     """
-    spark = table.sparkSession
     vectors = staged(whole_vectors(table), "vectors")
-    width = vectors.agg(F.max(F.size("vec"))).first()[0] or 0
+    asking = vectors.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("qvec"))
+    asking = staged(asking.select(F.col("vec_id").alias("query"), "qvec", F.size("qvec").alias("width")), "vector-queries")
+    widths = sorted(r["width"] for r in asking.select("width").distinct().collect() if r["width"])
+    results = [top_k_of_width(vectors, asking.where(F.col("width") == w).drop("width"), w, k, groups) for w in widths or [0]]
+    out = results[0]
+    for other in results[1:]:
+        out = out.union(other)
+    return out
+
+
+def top_k_of_width(vectors: DataFrame, queries: DataFrame, width: int, k: int, groups: int) -> DataFrame:
     vectors = vectors.where(F.size("vec") == width)
     place = F.dense_rank().over(Window.partitionBy("vec").orderBy("vec_id"))
     few = vectors.withColumn("place", place).where(F.col("place") <= k + 1)
@@ -119,7 +140,6 @@ def top_k(table: DataFrame, is_query: Column, k: int = K, groups: int = GROUPS)
     parts = [F.slice("vec", bounds[g] + 1, bounds[g + 1] - bounds[g]).alias(f"part_{g}") for g in range(groups)]
     # an id with several vectors is in several classes, so a class has a number of its own
     classes = staged(classes.select(F.monotonically_increasing_id().alias("rep"), "ids", "vec", *parts), "vector-classes")
-    queries = staged(vectors.where(is_query).groupBy("vec_id").agg(F.min("vec").alias("qvec")).withColumnRenamed("vec_id", "query"), "vector-queries")
     sets = max(1, math.ceil(queries.count() / QUERY_SET))
     results = []
     for s in range(sets):

@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from coursewise.llm.common import hash_sample
 from coursewise.llm import bpe, byte_cnn, html_tree, language_id, mixing, pii, quality_rules, simhash, topk, url_filters
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, key string"
@@ -125,6 +126,52 @@ def test_topk(spark):
     assert got == want
 
 
+def test_topk_of_several_lengths_and_huge_components(spark):
+    rng = np.random.default_rng(13)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(150)] + [(1000 + i, rng.normal(size=3).tolist()) for i in range(3)] + [(2000, [1.0] * 7), (2100, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(table, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()]
+    vecs = {i: np.floor(1024 * np.array(v)) for i, v in rows}
+    want = []
+    for q in (0, 100, 1000):
+        best = sorted((-int(v @ vecs[q]), i) for i, v in vecs.items() if i != q and len(v) == len(vecs[q]))[:10]
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
+    assert got == want
+    with pytest.raises(Exception, match="exceed a long"):
+        topk.top_k(spark.createDataFrame([(0, [1e12] * 2), (1, [1e12] * 2)], "vec_id long, embedding array<double>"), F.lit(True)).collect()
+
+
+def test_training_samples_are_bounded(spark):
+    one_id = spark.range(50_000).select((F.col("id") % 2).cast("int").alias("label"), F.lit(7).alias("doc_id"), F.lit("same").alias("text"))
+    got = hash_sample(one_id, 100, "label").collect()
+    assert sorted(r.label for r in got) == [0, 1]  # equal rows are one
+    texts = one_id.withColumn("text", F.monotonically_increasing_id().cast("string")).repartition(5)
+    got = hash_sample(texts, 100, "label").collect()
+    assert [sum(r.label == k for r in got) for k in (0, 1)] == [100, 100]
+    assert sorted(got) == sorted(hash_sample(texts.repartition(3), 100, "label").collect())
+    assert hash_sample(texts.limit(0), 100, "label").count() == 0
+
+
+def test_network_against_plain_loops():
+    rng = np.random.default_rng(14)
+    texts = [rng.integers(32, 127, n).astype(np.uint8).tobytes() for n in (0, 1, 40, 700, 3000)]
+    net = byte_cnn.fit_network(texts, np.array([0, 1, 0, 1, 1.0]), epochs=2)
+    alone = [float(byte_cnn.probabilities(net, [t])[0]) for t in texts]
+    assert alone == pytest.approx(byte_cnn.probabilities(net, texts).tolist(), abs=1e-6)
+    forest = quality_rules.fit_forest(rng.random((300, len(quality_rules.FEATURES))), (rng.random(300) < 0.4).astype(float), list(quality_rules.FEATURES.values()))
+    x = rng.random((50, len(quality_rules.FEATURES)))
+
+    def walk(row):
+        total = forest.base
+        for at in forest.roots:
+            while forest.left[at] != forest.right[at]:
+                at = forest.left[at] if row[forest.feature[at]] <= forest.threshold[at] else forest.right[at]
+            total += forest.value[at]
+        return 1 / (1 + math.exp(-total))
+
+    assert forest.score(x) == pytest.approx([walk(r) for r in x])
+
+
 def test_quality_statistics():
     text = "a b c\na b c\nx # a b c\n\n\n q é"
     words = re.findall(r"[^\x20\x09-\x0D]+", text)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from coursewise.llm.common import hash_sample, held_out, map_texts, texts_as_bytes
+from coursewise.sources.staging import staged
 
 WIDTH, STRIDE, EMBED, FILTERS = 12, 4, 4, 32
 HOP = 256  # a chunk is two hops
@@ -149,8 +150,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
     """
     known = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("label"))
     usable = docs.where(~held_out(F.col("doc_id")) & (F.octet_length("text") <= train_bytes)).select("doc_id", "text")
-    sample = hash_sample(usable.join(known, "doc_id").select("label", "doc_id", "text"), train_rows, "label")
-    rows = sorted((r["label"], r["text"]) for r in sample.select("label", "text").toLocalIterator())
+    hashed = usable.withColumn("text_hash", F.xxhash64("doc_id", "text"))
+    keys = staged(hashed.select("doc_id", "text_hash").join(known, "doc_id").select("label", "text_hash"), "training-keys")
+    sample = F.broadcast(hash_sample(keys, train_rows, "label"))  # 2 * train_rows rows at most; only their texts are moved
+    picked = hashed.join(sample, "text_hash").groupBy("label", "text_hash").agg(F.min("text").alias("text"))
+    rows = sorted((r["label"], r["text"]) for r in picked.toLocalIterator())
     return fit_network([t.encode() for _, t in rows], np.array([x for x, _ in rows], float))
 
 

@@ -143,7 +143,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 MIXING_SQL = r"""
 WITH RECURSIVE sizes AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    md5('7:' || coalesce(doc_id::VARCHAR, '')) AS draw
+    md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || size) AS draw
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -166,24 +166,24 @@ WITH RECURSIVE sizes AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END AS whole FROM targets
 ), due AS (
   SELECT *, target - whole * source_size AS due FROM plan
-), running AS (
+), numbered AS (
   SELECT s.*, p.source_size, p.target, p.whole, p.due,
-    sum(size) OVER (PARTITION BY s.source ORDER BY draw RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after
+    row_number() OVER (PARTITION BY s.source ORDER BY size = 0, draw) AS place  -- those without words come last
   FROM sizes s JOIN due p ON s.source IS NOT DISTINCT FROM p.source
-), ended AS (
-  SELECT source, min(CASE WHEN after > due THEN draw END) AS ending, max(CASE WHEN after <= due THEN after END) AS reached
-  FROM running GROUP BY source
-), missing AS (
-  SELECT r.*, e.ending, r.due - coalesce(e.reached, 0) AS missing
-  FROM running r JOIN ended e ON r.source IS NOT DISTINCT FROM e.source
-), filled AS (
-  SELECT source, min({'gap': abs(size - missing), 'draw': draw}).draw AS draw FROM missing
-  WHERE draw >= ending AND size > 0 AND abs(size - missing) < missing GROUP BY source
+), pass AS (  -- document by document: one that fits into the room is taken, others are passed over
+  SELECT source, 0::BIGINT AS place, floor(due)::BIGINT AS room, false AS taken FROM due
+  UNION ALL
+  SELECT n.source, n.place, CASE WHEN n.size <= p.room THEN p.room - n.size ELSE p.room END, n.size BETWEEN 1 AND p.room
+  FROM pass p JOIN numbered n ON n.source IS NOT DISTINCT FROM p.source AND n.place = p.place + 1
+), rest AS (
+  SELECT d.source, min(p.room) + d.due - floor(d.due) AS missing FROM pass p JOIN due d ON p.source IS NOT DISTINCT FROM d.source GROUP BY d.source, d.due
+), chosen AS (
+  SELECT n.*, p.taken, NOT p.taken AND n.size > 0 AND n.size < 2 * r.missing AS spare
+  FROM numbered n JOIN pass p ON n.source IS NOT DISTINCT FROM p.source AND n.place = p.place JOIN rest r ON n.source IS NOT DISTINCT FROM r.source
+), marked AS (  -- the smallest document left, if it brings the source nearer
+  SELECT *, spare AND row_number() OVER (PARTITION BY source ORDER BY spare DESC, size, draw, place) = 1 AS fill FROM chosen
 )
-SELECT m.doc_id, m.size, m.source_size, m.target,
-  (CASE WHEN m.size > 0 THEN m.size * least(m.whole + CASE WHEN coalesce(m.draw < m.ending, m.target > m.whole * m.source_size)
-     OR coalesce(m.draw = f.draw, false) THEN 1 ELSE 0 END, 2) ELSE 0 END)::BIGINT AS taken
-FROM missing m LEFT JOIN filled f ON m.source IS NOT DISTINCT FROM f.source
+SELECT doc_id, size, source_size, target, (size * least(whole + CASE WHEN taken OR fill THEN 1 ELSE 0 END, 2))::BIGINT AS taken FROM marked
 """
 
 #: One round over the table c0 of centroids (c, vec); dist is exact in doubles for vectors of this size.

@@ -272,6 +272,52 @@ def test_mixing(spark):
     assert copies.columns == docs.columns and copies.count() == sum(r.taken // r.size for r in out if r.size)
 
 
+def plain_mix(rows, targets, sizes, seed=7):
+    """Copies of rows (doc_id, size, source) in plain Python: whole repetitions, then a pass in the order of draws."""
+    copies = [0] * len(rows)
+    for source, target in targets.items():
+        whole = min(int(target // sizes[source]), 2) if sizes[source] else 0
+        due = target - whole * sizes[source]
+        draw = lambda i: (hashlib.md5(f"{seed}:{'' if rows[i][0] is None else rows[i][0]}:{rows[i][1]}".encode()).hexdigest(), i)
+        own = sorted((i for i, r in enumerate(rows) if r[2] == source and r[1]), key=draw)
+        room, left = math.floor(due), []
+        for i in own:
+            copies[i] = whole
+            if rows[i][1] <= room:
+                room -= rows[i][1]
+                copies[i] += 1
+            else:
+                left.append(i)
+        missing = room + due - math.floor(due)
+        best = min(left, key=lambda i: (rows[i][1], draw(i)), default=None)
+        if best is not None and rows[best][1] < 2 * missing:
+            copies[best] = min(copies[best] + 1, 2)
+    return copies
+
+
+@pytest.mark.parametrize("percent", (37, 117, 150))
+def test_mixing_reaches_what_is_reachable(spark, percent):
+    rng = np.random.default_rng(percent)
+    rows = [(i, 1, "giant") for i in range(300)] + [(999, 300, "giant")]  # a document as large as the rest
+    rows += [(5, 4, None)] * 50 + [(6, 3, None)] * 30 + [(None, 2, None)] * 2  # repeated ids
+    rows += [(2000 + i, int(n), "mixed") for i, n in enumerate(rng.geometric(0.02, 150))] + [(3000, 0, "empty")]
+    docs = spark.createDataFrame([(i, "w " * n, s) for i, n, s in rows], "doc_id long, text string, source string").withColumn("room", F.lit("clash"))
+    out = mixing.mix_table(docs.repartition(5), share_percent=percent).collect()
+    sizes = {}
+    for _, n, s in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    of_size = {r.source_size: r.target for r in out}
+    targets = {s: of_size[n] for s, n in sizes.items()}
+    copies = plain_mix(rows, targets, sizes)
+    want = sorted((i or -1, n, n * c) for (i, n, _), c in zip(rows, copies, strict=True))
+    assert sorted((r.doc_id or -1, r.size, r.taken) for r in out) == want
+    for s in ("giant", None):  # within half of the smallest document
+        taken = sum(r.taken for r in out if r.source_size == sizes[s])
+        assert abs(taken - targets[s]) <= 1.5
+    mixed = mixing.mix_documents(docs, share_percent=percent)
+    assert mixed.columns == docs.columns and mixed.count() == sum(copies)
+
+
 def test_html(spark):
     html = (
         "<html><head><title>t</title></head><body><nav>menu</nav><div class='cookie-notice'>c</div><article><header><h1>Big &amp; "

@@ -54,3 +54,16 @@ def hash_sample(df: DataFrame, size: int, by: str) -> DataFrame:
         once = thinned.groupBy("draw").agg(F.min(F.struct(*df.columns)).alias("row"))
         out = out.union(once.orderBy("draw").limit(size).select("row.*"))
     return out
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, shares: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row per key and the key's number of ``rows`` in n.
+
+    A key that holds over a ``shares``-th of all rows would put them into one task. There are fewer than
+    ``shares`` such keys, whatever the size, so their part of the table is broadcast and their rows stay
+    where they are; the rest is joined by key.
+    """
+    total = table.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * shares > F.lit(total)
+    few, rest = F.broadcast(table.where(hot).drop("n")), table.where(~hot).drop("n")
+    return rows.join(few, key).unionByName(rows.join(F.broadcast(table.where(hot).select(key)), key, "left_anti").join(rest, key))

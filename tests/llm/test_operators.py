@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from coursewise.llm.common import hash_sample
+from coursewise.llm.common import hash_sample, spread_join
 from coursewise.llm import bpe, byte_cnn, html_tree, language_id, mixing, pii, quality_rules, simhash, topk, url_filters
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, score double, key string"
@@ -202,6 +202,15 @@ def test_trees_are_monotone_and_learn():
             assert (sign * np.diff(forest.score(grid).reshape(20, 50), axis=1) >= -1e-12).all()
 
 
+def test_spread_join(spark):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 500 + list(range(2, 400)) + [7] * 3 + [None])], "k long, i long")
+    table = spark.createDataFrame([(k, f"v{k}", 500 if k == 1 else 4 if k == 7 else 1) for k in range(1, 400)], "k long, v string, n long")
+    for shares in (1, 10, 1000):
+        got = sorted(map(tuple, spread_join(rows, table, "k", shares).select("k", "i", "v").collect()))
+        assert got == sorted((r.k, r.i, f"v{r.k}") for r in rows.collect() if r.k is not None)
+    assert spread_join(rows.limit(0), table.limit(0), "k").count() == 0
+
+
 def brute_print(text):
     lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
@@ -216,13 +225,47 @@ def test_simhash(docs):
     assert sorted(f"{p:016x}" for (i, t) in [(a, b) for a, b, _ in TEXTS] for p in [prints[i, t]]) == sorted(r.fingerprint for r in rows)
     by = {r.doc_id: r.component_id for r in rows if r.doc_id is not None}
     assert by[7] == 1 and by[3] == by[4] == 3 and len(rows) == len(TEXTS)
-    kept = simhash.keep_one(docs)
+    clashing = simhash.near_duplicates(docs.withColumn("row_id", F.lit("clash")).withColumn("n", F.lit("x"))).collect()
+    assert sorted(map(str, clashing)) == sorted(map(str, rows))
+    kept = simhash.keep_one(docs.withColumn("row_id", F.lit("clash"))).drop("row_id")
     assert kept.columns == docs.columns and kept.count() == len({r.component_id for r in rows})
 
 
-@pytest.mark.parametrize("block", (4096, 3))
-def test_simhash_links_all_components(spark, monkeypatch, block):
+def near_prints(rng, n, kin):
+    """Random fingerprints, and near ones of ``kin`` of them with bits changed in one part, in several, or one in each."""
+    values = list(rng.integers(0, 2**63, n, dtype=np.uint64))
+    for b in values[:kin]:
+        for k in (1, 2, 3, 4, 4, 5):
+            values.append(b ^ np.uint64(sum(1 << int(i) for i in rng.choice(64, k, replace=False))))
+        values.append(b ^ np.uint64(sum(1 << int(16 * p + rng.integers(16)) for p in range(4))))
+        values.append(b ^ np.uint64(sum(1 << int(i) for i in rng.choice(16, 4, replace=False))))
+    return np.unique(np.array(values, np.uint64))
+
+
+def test_every_link_meets_in_a_lower_shard_and_copies_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 1)
+    monkeypatch.setattr(simhash, "DEEP", 0)  # trees below every shard
+    copies = []
+    for n in (200, 4000):
+        bits = near_prints(np.random.default_rng(n), n, 40)
+        frame = spark.createDataFrame([(int(x),) for x in bits.view(np.int64)], "bits long")
+        upper = simhash.routed(frame)
+        lower = simhash.routed_below(upper)
+        assert upper.count() <= (4 + 16) * len(bits)
+        copies.append(lower.count() / len(bits))
+        rows = {}
+        for r in lower.collect():
+            rows.setdefault((r.tree, r.shard, r.below), []).append((r.bits & 2**64 - 1, r.guest))
+        met = {frozenset((a, b)) for own in rows.values() if len(own) < 400 for a, ga in own if not ga for b, _ in own if a != b}
+        i, j = np.nonzero(np.triu(np.bitwise_count(bits[:, None] ^ bits[None]) <= 4, 1))
+        assert len(i) > 200 and all(frozenset((int(bits[x]), int(bits[y]))) in met for x, y in zip(i, j, strict=True))
+    assert max(copies) <= 4 * (3 + 2 * 16) + 16 * 17 and abs(copies[0] - copies[1]) < 0.2 * copies[0]
+
+
+@pytest.mark.parametrize(("block", "deep"), ((4096, 16), (3, 16), (3, 0), (1, 2)))
+def test_simhash_links_all_components(spark, monkeypatch, block, deep):
     monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "DEEP", deep)
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 300, dtype=np.uint64)
     values = list(base)

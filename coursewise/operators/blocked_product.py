@@ -99,12 +99,38 @@ def blocked_product(
     )
 
 
+def multiplied(
+    shape: tuple[int, int],
+    left: tuple[np.ndarray, np.ndarray, np.ndarray],
+    right: tuple[np.ndarray, np.ndarray, np.ndarray],
+    step: int = COLUMNS_PER_STEP,
+) -> np.ndarray:
+    """Dense product of two sparse matrices in entries (row or column, feature, weight).
+
+    Features are numbered from 0; ``step`` of them are made dense at a time.
+    """
+    scores = np.zeros(shape)
+    row, feature, weight = left
+    column, entry, entry_weight = right
+    for start in range(0, int(entry.max()) + 1 if len(entry) else 0, step):
+        pick = (feature >= start) & (feature < start + step)
+        if not pick.any():
+            continue
+        dense_left = np.zeros((shape[0], step))
+        dense_left[row[pick], feature[pick] - start] = weight[pick]
+        pick = (entry >= start) & (entry < start + step)
+        width = int(entry[pick].max()) - start + 1 if pick.any() else 0
+        dense_right = np.zeros((width, shape[1]))
+        dense_right[entry[pick] - start, column[pick]] = entry_weight[pick]
+        scores += dense_left[:, :width] @ dense_right
+    return scores
+
+
 def _block_scores(
     detail: list[str], step: int, best: int | None, course: list[str], tolerance: float
 ):
     def run(learners: pa.Table, items: pa.Table) -> pa.Table:
         students, row = np.unique(learners["id_student"].to_numpy(), return_inverse=True)
-        scores = np.zeros((len(students), items.num_rows))
         features = items["features"].combine_chunks()
         entries = features.flatten()
         vocabulary = entries.unique()
@@ -118,15 +144,9 @@ def _block_scores(
         ).to_numpy()
         given = pc.is_valid(learners["feature"]).to_numpy() & (feature >= 0)
         weight = pc.fill_null(learners["weight"], 0.0).to_numpy()
-        for start in range(0, len(vocabulary), step):
-            width = min(step, len(vocabulary) - start)
-            left = np.zeros((len(students), width))
-            pick = given & (feature >= start) & (feature < start + width)
-            left[row[pick], feature[pick] - start] = weight[pick]
-            right = np.zeros((width, items.num_rows))
-            pick = (entry >= start) & (entry < start + width)
-            right[entry[pick] - start, owner[pick]] = entry_weight[pick]
-            scores += left @ right
+        scores = multiplied(
+            (len(students), items.num_rows), (row[given], feature[given], weight[given]), (owner, entry, entry_weight), step
+        )
         sites, column = np.unique(items["id_site"].to_numpy(), return_inverse=True)
         masked = pc.is_valid(learners["used_site"]).to_numpy()
         used = pc.fill_null(learners["used_site"], 0).to_numpy()[masked]

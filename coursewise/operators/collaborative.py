@@ -186,16 +186,10 @@ def resource_details(
     )
 
 
-def raw_collaborative(
-    interactions: DataFrame,
-    profiles: DataFrame,
-    scope: Sequence[str] = (),
-    best: int | None = None,
-    sets: DataFrame | None = None,
-) -> DataFrame:
-    # several branches read the small tables: stage them
-    if sets is None:
-        sets = staged(course_sets(profiles, scope), "course_sets")
+def collaborative_sides(
+    interactions: DataFrame, profiles: DataFrame, sets: DataFrame, scope: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Learners' clicks, the item table with details, and the (small) details by course set."""
     details = staged(resource_details(interactions, sets, scope), "details")
     overlaps, learners = shared_courses(interactions, sets, scope)
     cells = clicks_by_shared_courses(interactions, overlaps, learners, scope)
@@ -215,6 +209,20 @@ def raw_collaborative(
             F.col("id_site").alias("used_site"),
         )
     )
+    return learner_rows, items, details
+
+
+def raw_collaborative(
+    interactions: DataFrame,
+    profiles: DataFrame,
+    scope: Sequence[str] = (),
+    best: int | None = None,
+    sets: DataFrame | None = None,
+) -> DataFrame:
+    # several branches read the small tables: stage them
+    if sets is None:
+        sets = staged(course_sets(profiles, scope), "course_sets")
+    learner_rows, items, details = collaborative_sides(interactions, profiles, sets, scope)
     n_items = F.count(F.lit(1))
     sizes = (
         details.groupBy("course_set")

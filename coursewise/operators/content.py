@@ -38,17 +38,10 @@ def text_vectors(catalogue: DataFrame) -> DataFrame:
     return term_weights(texts, ["resource_text"], "resource_text", ["course_set"], "copies")
 
 
-def raw_content(
-    interactions: DataFrame,
-    resources: DataFrame,
-    profiles: DataFrame,
-    scope: Sequence[str] = (),
-    best: int | None = None,
-    sets: DataFrame | None = None,
-) -> DataFrame:
-    # several branches read the small tables: stage them
-    if sets is None:
-        sets = staged(course_sets(profiles, scope), "course_sets")
+def content_sides(
+    resources: DataFrame, profiles: DataFrame, sets: DataFrame, scope: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Learners' summed term vectors, the items' term vectors, and the used resources."""
     catalogue = staged(catalogue_by_course_set(resources, sets, scope), "catalogue")
     vectors = staged(text_vectors(catalogue), "vectors")
     rows = vectors.groupBy("course_set", "resource_text").agg(
@@ -72,13 +65,23 @@ def raw_content(
         .groupBy("course_set", "id_student", "term")
         .agg(F.sum(F.col("times") * F.col("weight")).alias("weight"))
     )
-    learner_rows = profile.select(
-        "course_set",
-        "id_student",
-        F.col("term").alias("feature"),
-        "weight",
-        F.lit(None).cast("long").alias("used_site"),
-    ).unionByName(
+    profile = profile.select("course_set", "id_student", F.col("term").alias("feature"), "weight")
+    return profile, items, used
+
+
+def raw_content(
+    interactions: DataFrame,
+    resources: DataFrame,
+    profiles: DataFrame,
+    scope: Sequence[str] = (),
+    best: int | None = None,
+    sets: DataFrame | None = None,
+) -> DataFrame:
+    # several branches read the small tables: stage them
+    if sets is None:
+        sets = staged(course_sets(profiles, scope), "course_sets")
+    profile, items, used = content_sides(resources, profiles, sets, scope)
+    learner_rows = profile.withColumn("used_site", F.lit(None).cast("long")).unionByName(
         used.select(
             "course_set",
             "id_student",

@@ -7,11 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from coursewise.functions.scores import best_first, check_k, seeded_uniform
+from coursewise.operators.best_rows import SOURCES, best_scores
 from coursewise.operators.learners import learner_profiles
-from coursewise.operators.mixing import side_by_side, source_scores
+from coursewise.operators.mixing import side_by_side
 from coursewise.operators.ranks import largest_remainder
 from coursewise.schemas import (
     CATEGORICAL_FEATURES,
+    ITEM,
     LEARNER_COURSE,
     MODEL_INPUT,
     SCORE_COLUMNS,
@@ -58,7 +60,9 @@ def generate_candidates(
     check_k(k)
     if scores is None:
         profiles = staged(learner_profiles(interactions, scope, targets), "profiles")
-        scores = source_scores(interactions, resources, profiles, scope, k)
+        wide = best_scores(interactions, resources, profiles, k, scope)
+        sources = F.array(*[F.struct(F.lit(s).alias("source"), F.col(f"{s}_score").alias("score")) for s in SOURCES])
+        scores = wide.select(*scope, "id_student", *ITEM, F.inline(sources)).where(F.col("score").isNotNull())
     keys = [*scope, *LEARNER_COURSE]
     place = F.row_number().over(Window.partitionBy(*keys, "source").orderBy(*best_first("score")))
     best = scores.withColumn("place", place).where(F.col("place") <= k)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from coursewise.functions.scores import explanation, hybrid_score, top_k
 from coursewise.functions.text import term_weights
 from coursewise.operators.baseline_random import random_scores
+from coursewise.operators.best_rows import best_scores
 from coursewise.operators.collaborative import clicks_by_shared_courses, collaborative_scores, shared_courses
 from coursewise.operators.content import (
     catalogue_by_course_set,
@@ -23,7 +24,7 @@ from coursewise.operators.interactions import (
     temporal_split,
 )
 from coursewise.operators.learners import course_sets, learner_profiles
-from coursewise.operators.mixing import hybrid_scores, score_table
+from coursewise.operators.mixing import hybrid_scores
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
 from coursewise.operators.similarity import pair_similarity, shared_similarity, total_similarity
 from coursewise.plans import features, profile
@@ -334,7 +335,7 @@ def topk_content(spark, sf_dir):
 
 def topk_hybrid(spark, sf_dir):
     history, resources, profiles = history_of(spark, sf_dir)
-    return _best(score_table(history, staged(resources, "resources"), profiles), "hybrid")
+    return _best(best_scores(history, staged(resources, "resources"), profiles, K), "hybrid")
 
 
 def topk_random(spark, sf_dir):
@@ -344,9 +345,7 @@ def topk_random(spark, sf_dir):
 
 def explanations(spark, sf_dir):
     history, resources, profiles = history_of(spark, sf_dir)
-    scores = score_table(history, staged(resources, "resources"), profiles).fillna(
-        0.0, subset=SCORE_COLUMNS
-    )
+    scores = best_scores(history, staged(resources, "resources"), profiles, K).fillna(0.0, subset=SCORE_COLUMNS)
     return top_k(scores, "hybrid_score", K, LEARNER_COURSE).select(
         *LEARNER_COURSE, "id_site", "position", explanation().alias("explanation")
     )

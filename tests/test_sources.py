@@ -153,3 +153,23 @@ def test_recommendations_are_written(spark, tmp_path, form):
     assert {(r.id_site, r.ML_score) for r in again.collect()} == {(7, 0.5), (9, 0.25)}
     [record] = recommendation_records(best).collect()
     assert [r["id_site"] for r in json.loads(record.records)] == [7, 9]
+
+
+def test_click_log_is_joined_once(spark, tmp_path):
+    from datetime import date
+
+    from coursewise.sources.star_mapping import raw_tables
+
+    tables = {
+        "lineitem": ([(1, 1, 2.0, date(1996, 2, 1)), (9, 1, 2.0, date(1996, 2, 1))], "l_orderkey long, l_partkey long, l_quantity double, l_shipdate date"),
+        "orders": ([(1, 7, date(1996, 1, 1), "1-URGENT", "O")], "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string, o_orderstatus string"),
+        "customer": ([(7, 0, 10.0, "BUILDING")], "c_custkey long, c_nationkey long, c_acctbal double, c_mktsegment string"),
+        "part": ([(1, "Brand#12", "PROMO")], "p_partkey long, p_brand string, p_type string"),
+        "nation": ([(0, 0)], "n_nationkey long, n_regionkey long"),
+        "region": ([(0, "ASIA")], "r_regionkey long, r_name string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    raw = raw_tables(spark, str(tmp_path))
+    assert [tuple(r) for r in raw.student_vle.select("id_student", "code_module", "date", "sum_click").collect()] == [(7, "BUILDING", 7, 2)]
+    assert not any("lineitem" in file for file in raw.student_vle.inputFiles())

@@ -285,3 +285,14 @@ def test_pair_similarity_against_brute_force(spark):
     norm = lambda i: np.linalg.norm(m[i])
     cosine = lambda a, b: m[a] @ m[b] / (norm(a) * norm(b)) if b < 9 and norm(a) and norm(b) else 0.0
     assert {(r.a, r.b): r.similarity for r in found.collect()} == pytest.approx({(a, b): cosine(a, b) for _, a, b in pairs})
+
+
+def test_intersections_of_course_sets_are_staged(interactions_of, monkeypatch):
+    """Unless Spark knows how small they are, all rows shuffle by course set."""
+    names = []
+    staging = collab_module.staged
+    monkeypatch.setattr(collab_module, "staged", lambda df, name: (names.append(name), staging(df, name))[1])
+    history = interactions_of([(s, "A", i, 1) for s in range(3) for i in range(3)])
+    overlaps, learners = collab_module.shared_courses(history, staging(course_sets(learner_profiles(history)), "sets"))
+    cells = collab_module.clicks_by_shared_courses(history, overlaps, learners)
+    assert "parts" in names and cells.count() == 9

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from coursewise.functions.scores import HYBRID_WEIGHTS, top_k
-from coursewise.operators import best_rows, blocked_product as blocks
+from coursewise.operators import baseline_random, best_rows, blocked_product as blocks
 from coursewise.operators.best_rows import among_best, best_scores
 from coursewise.operators.learners import learner_profiles
 from coursewise.operators.mixing import score_table
@@ -99,3 +99,31 @@ def test_rows_leaving_a_block_stay_near_k(interactions_of):
     profiles = staged(learner_profiles(history), "profiles")
     rows = best_scores(history, resources, profiles, 3).groupBy("id_student").count().collect()
     assert len(rows) == 20 and max(r["count"] for r in rows) <= 4 * 3
+
+
+def test_a_learner_is_one_row_a_source(interactions_of, clicked, monkeypatch):
+    """A row per entry carried the course set with each of them."""
+    kept = {}
+    staging = best_rows.staged
+    monkeypatch.setattr(best_rows, "staged", lambda df, name: kept.setdefault(name, staging(df, name)))
+    history = interactions_of(clicked)
+    resources = history.select(*ITEM).distinct().withColumn("resource_text", F.lit("the same text"))
+    full = best_scores(history, resources, staging(learner_profiles(history), "profiles"), 3).count()
+    learners = kept["block_learners"]
+    assert learners.count() == learners.select("course_set", "id_student", "source").distinct().count()
+    mixed = best_scores(history, resources, staging(learner_profiles(history), "profiles"), 3, ranked=["hybrid"])
+    assert 0 < mixed.count() < full
+
+
+def test_random_best_is_the_start_of_the_whole_list(interactions_of, clicked, monkeypatch):
+    history = interactions_of(clicked)
+    profiles = staged(learner_profiles(history), "profiles")
+    for per_list in (2048, 5):
+        monkeypatch.setattr(baseline_random, "ITEMS_PER_LIST", per_list)
+        for k in (1, 3, 50):
+            few = baseline_random.random_scores(history, profiles, best=k)
+            whole = baseline_random.random_scores(history, profiles)
+            columns = [*LEARNER_COURSE, "id_site", "activity_type", "position", "random_score"]
+            got, want = (sorted(top_k(df, "random_score", k, LEARNER_COURSE).select(*columns).collect()) for df in (few, whole))
+            assert got == want
+        assert baseline_random.random_scores(history, profiles, best=1).count() < whole.count()

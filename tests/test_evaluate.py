@@ -179,3 +179,26 @@ def test_quotas_are_exact_whatever_the_slices(spark, monkeypatch, slices):
         quotas = largest_remainder({t: sum(r.target == t for r in drawn) for t in (0, 1)}, size)
         want = {(r.id_student, r.id_site) for t in (0, 1) for r in sorted((r for r in drawn if r.target == t), key=lambda r: r.draw)[: quotas[t]]}
         assert {(r.id_student, r.id_site) for r in got} == want and len(got) == size
+
+
+def test_site_sets_are_the_relevant_items(interactions_of):
+    history = interactions_of([(1, "A", 1, 1), (1, "A", 2, 1), (2, "A", 1, 1), (3, "A", 1, 1)])
+    future = interactions_of([(1, "A", 2, 1), (1, "A", 3, 1), (1, "A", 4, 2), (2, "A", 1, 1), (4, "A", 1, 1)])
+    rows = {r.id_student: (sorted(r.relevant_sites), r.past, r.later) for r in candidates.site_sets(history, future).collect()}
+    assert rows == {1: ([3, 4], True, True), 2: ([], True, True), 3: ([], True, False), 4: ([1], False, True)}
+    wanted = {(r.id_student, r.id_site) for r in candidates.relevant_items(history, future).collect()}
+    assert wanted == {(s, i) for s, (sites, _, _) in rows.items() for i in sites}
+
+
+def test_recommenders_become_rows_after_the_joins(interactions_of):
+    """A spine with a row per recommender was broadcast five times as large as Spark took it for."""
+    history = interactions_of([(s, "A", i, 1 + (s + i) % 3) for s in range(4) for i in range(s, s + 4)])
+    future = interactions_of([(s, "A", i, 1) for s in range(4) for i in range(8)])
+    resources = history.select("id_site", "code_module", "code_presentation", "activity_type").distinct()
+    resources = resources.withColumn("resource_text", F.lit("a page"))
+    found = evaluate_recommenders(history, future, resources, 2)
+    plan = found.where("hits > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan[plan.index("Join") :].split("Relation")[0]
+    rows = found.collect()
+    assert len(rows) == 20 and {r.n_relevant for r in rows} == {4}
+    assert all(0 <= r.hits <= 2 for r in rows) and sum(r.hits for r in rows if r.recommender == "popularity") > 0

@@ -105,3 +105,9 @@ def test_recommendations(tables, forest):
     for who, course in ((10, ("AAA", "2013J")), (1, ("BBB", "2013B"))):
         with pytest.raises(ValueError):
             recommend_for(serving, forest, who, *course)
+
+
+def test_category_modes_count_rows_not_combinations(spark):
+    rows = [("a", "x"), ("a", "x"), ("a", "x"), ("b", "y"), ("b", "z"), (None, "y"), ("b", None)]
+    found = category_modes(spark.createDataFrame(rows, "one string, two string"), ["one", "two"])
+    assert {r["column"]: r["mode"] for r in found.collect()} == {"one": "a", "two": "x"}

@@ -4,6 +4,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from coursewise.plans import ranker
+from coursewise.plans.candidates import model_input
 from coursewise.plans.ranker import (
     category_modes,
     create_ml_model,
@@ -65,6 +67,24 @@ def test_forest_learns_saves_and_loads(training, forest, tmp_path):
     assert means[1] > means[0]
 
 
+def test_forest_caches_nodes_and_comes_in_parts(training, tmp_path, monkeypatch):
+    settings = {"numTrees": 5, "maxDepth": 3}
+    whole = create_ml_model(training, forest=settings).stages[-1]
+    assert whole.getCacheNodeIds() and whole.getNumTrees == 5
+    monkeypatch.setattr(ranker, "TREE_ROWS", 130)  # 60 rows: two trees at once
+    model = create_ml_model(training, forest=settings)
+    assert [s.getNumTrees for s in model.stages[-3:]] == [1, 2, 2]
+    path = str(tmp_path / "parts")
+    save_model(model, path)
+    rows = predict_ml_scores(load_model(path), training).select("target", "ML_score").collect()
+    keyed = model_input(training.withColumn(ranker.ROW, F.struct("target")), [ranker.ROW])
+    each = model.transform(keyed).select("probability", "probability_1", "probability_2").collect()
+    mean = [(r[0][1] + 2 * r[1][1] + 2 * r[2][1]) / 5 for r in each]
+    assert sorted(r.ML_score for r in rows) == pytest.approx(sorted(mean))
+    means = {x: [r.ML_score for r in rows if r.target == x] for x in (0, 1)}
+    assert sum(means[1]) / len(means[1]) > sum(means[0]) / len(means[0])
+
+
 def test_unseen_values_are_scored(training, forest):
     strange = training.withColumn("gender", F.lit("never seen")).withColumn("resource_text", F.lit("new words"))
     assert predict_ml_scores(forest, strange).where("ML_score is null").isEmpty()

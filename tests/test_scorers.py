@@ -12,7 +12,9 @@ from coursewise.operators.collaborative import collaborative_scores
 from coursewise.operators.content import content_scores
 from coursewise.operators.learners import course_sets, learner_profiles
 from coursewise.operators.mixing import hybrid_scores, score_table, source_scores
-from coursewise.operators.similarity import pair_similarity
+from coursewise.functions.text import term_weights
+from coursewise.operators import similarity
+from coursewise.operators.similarity import pair_similarity, text_similarity, total_similarity
 from coursewise.operators.popularity import popularity_cold_start, popularity_scores
 from coursewise.schemas import ITEM, LEARNER_COURSE
 from coursewise.sources.staging import staged
@@ -287,6 +289,31 @@ def test_pair_similarity_against_brute_force(spark):
     assert {(r.a, r.b): r.similarity for r in found.collect()} == pytest.approx({(a, b): cosine(a, b) for _, a, b in pairs})
 
 
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_text_similarity_ships_only_rare_terms(spark, monkeypatch, share):
+    texts = ["every one has this", "every two has that this", "every two two words", None, "", "every lone term"]
+    rows = [(i, "en" if i % 2 else "de", x) for i, x in enumerate(texts)]
+    rows += [rows[1], rows[1], (1, "de", "more of every one"), (None, "en", "every null id"), (7, None, "every null lang"), (8, "xx", "alone")]
+    documents = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = staged(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(similarity, "COMMON_SHARE", share)
+    monkeypatch.setattr(similarity, "staged", keep)
+    entries = term_weights(documents.select("doc_id", "text"), ["doc_id"], "text").join(documents.select("doc_id", "lang"), "doc_id")
+    values = lambda df: {(r.lang, r.doc_id): r.total_similarity for r in df.collect()}
+    wanted = values(total_similarity(entries, ["lang"], "doc_id", "term", "weight"))
+    assert values(text_similarity(documents, "lang", "doc_id", "text")) == pytest.approx(wanted, abs=1e-9)
+    assert (1, 7) not in wanted and ("de", 1) in wanted and ("en", 1) in wanted
+    rare = {r.term for r in kept["rare_entries"].collect()}
+    assert {1: {"every", "lone"}, 3: {"lone"}, 1000: set()}[share] <= rare
+    assert share == 1 or "every" not in rare
+    assert share < 1000 or not rare
+
+
 def test_intersections_of_course_sets_are_staged(interactions_of, monkeypatch):
     """Unless Spark knows how small they are, all rows shuffle by course set."""
     names = []

@@ -1,19 +1,18 @@
 """BPE encoding and decoding through distinct-word tables.
 
 A text is split at special tokens and then by the tokenizer's own word pattern. Every Arrow batch
-of documents builds the table of its distinct words, the tokenizers library encodes each of them
-once, and a document's ids are put together by looking its words up in order. Decoding goes the
+of documents adds its distinct words to the worker's table, the tokenizers library encodes those
+that are new, and a document's ids are put together by looking its words up in order. Decoding goes the
 other way through the id-to-piece table, whose size is that of the vocabulary.
 
-The table is one per batch (thousands of documents), not one for the corpus: joining a corpus-wide
-table back by position would shuffle every word occurrence, several times the size of the texts.
+The table is one per worker and bounded, not one for the corpus: joining a corpus-wide table back
+by position would shuffle every word occurrence, several times the size of the texts.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
 from functools import cache
 
 import pyarrow as pa
@@ -30,6 +29,11 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: versions differ in newer letters, so a text with other characters is split by the library.
 KNOWN = r"[\u0000-\u0529\u2010-\u2070\u20a0-\u20bf\u2190-\u21ff\u3040-\u3096\u30a1-\u30fa\u4e00-\u9fd5\uac00-\ud7a3]*+"
 
+#: A worker's word table is cut down to the words of the batch at hand when it holds more, and keeps
+#: no longer words for the next batch: this bounds its memory (some 50 MB), not what is encoded.
+TABLE_WORDS = 1 << 18
+LONGEST_KEPT = 64
+
 
 def read_tokenizer(path: str) -> str:
     """The tokenizer's JSON, read on the driver and sent with the job."""
@@ -63,6 +67,7 @@ class Coder:
         self.model = Tokenizer.from_str(source)
         self.model.no_truncation()
         self.model.no_padding()
+        self.table: dict[str, bytes] = {}
         self.pieces = [b""] * self.model.get_vocab_size()
         for piece, i in spec["model"]["vocab"].items():
             self.pieces[i] = bytes(byte_of()[c] for c in piece)
@@ -88,11 +93,18 @@ class Coder:
                 out[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
         return out
 
-    def encode_texts(self, texts: list[str]) -> Iterator[bytes]:
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
         split = [self.split(t) for t in texts]
-        table = self.encode_words(sorted(set().union(*split)))
-        for words in split:
-            yield b"".join(map(table.__getitem__, words))
+        words = set().union(*split)
+        if len(self.table) > TABLE_WORDS:
+            self.table = {w: self.table[w] for w in words & self.table.keys()}
+        found = self.encode_words([*(words - self.table.keys())])
+        self.table.update(found)
+        out = [b"".join(map(self.table.__getitem__, words)) for words in split]
+        for word in found:
+            if len(word) > LONGEST_KEPT:
+                del self.table[word]
+        return out
 
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.pieces.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")

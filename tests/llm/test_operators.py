@@ -75,6 +75,19 @@ def test_network_learns_and_covers_the_end():
     assert alone[0] == pytest.approx(together[0], abs=1e-6)
 
 
+def test_bpe_keeps_a_bounded_word_table(source, monkeypatch):
+    own, asked = bpe.Coder(source), []
+    encode = own.encode_words
+    monkeypatch.setattr(own, "encode_words", lambda words: asked.append(set(words)) or encode(words))
+    monkeypatch.setattr(bpe, "TABLE_WORDS", 3)
+    long = "x" * (bpe.LONGEST_KEPT + 1)
+    batches = [["a b", long], ["b a c d", "a " + long], ["d e"], ["a"]]
+    got = [own.encode_texts(b) for b in batches]
+    assert got == [bpe.Coder(source).encode_texts(b) for b in batches]
+    # known words aren't encoded again; a long one is, and so is what a full table let go
+    assert asked == [{"a", " b", long}, {"b", " a", " c", " d", " " + long}, {"d", " e"}, {"a"}]
+
+
 def test_bpe_is_the_library(spark, docs, source):
     tok = Tokenizer.from_str(source)
     odd = ["<|endoftext|>a <|endoftext|>", "  x\n\n y", "ǅ՘₏ 漢字 \U0001f600'll", "a" * 3000]

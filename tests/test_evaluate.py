@@ -20,7 +20,8 @@ from coursewise.plans.evaluate import (
 )
 from coursewise.plans.features import student_features
 from coursewise.plans.profile import boxplot_stats, crosstab_shares, histogram, value_counts
-from coursewise.schemas import MODEL_INPUT
+from coursewise.schemas import LEARNER_COURSE, MODEL_INPUT
+from coursewise.sources.staging import staged
 
 
 @pytest.fixture(scope="module")
@@ -181,6 +182,34 @@ def test_quotas_are_exact_whatever_the_slices(spark, monkeypatch, slices):
         assert {(r.id_student, r.id_site) for r in got} == want and len(got) == size
 
 
+def test_sampling_keeps_one_scan(spark):
+    rows = [(s, "A", "P", i, int(i % 7 == 0)) for s in range(20) for i in range(50)]
+    schema = "id_student long, code_module string, code_presentation string, id_site long, target int"
+    dataset = staged(spark.createDataFrame(rows, schema), "dataset")
+    sample = candidates.sample_training_data(dataset, 100)
+    assert set(sample.inputFiles()).isdisjoint(dataset.inputFiles())
+
+
+@pytest.mark.parametrize("copies", (1, 3))
+def test_sample_is_that_of_the_whole_dataset(interactions_of, copies):
+    history = interactions_of([(s, "A", i, 1 + (s + i) % 3) for s in range(4) for i in range(s, s + 4)])
+    future = interactions_of([(s, "A", i, 1) for s in range(4) for i in range(0, 8, 2)])
+    resources = history.select("id_site", "code_module", "code_presentation", "activity_type").distinct()
+    resources = resources.withColumn("resource_text", F.lit("a page"))
+    # no features of learner 0, ``copies`` rows of learner 1
+    learners = history.select(*LEARNER_COURSE).distinct().where("id_student > 0")
+    times = F.when(F.col("id_student") == 1, copies).otherwise(1)
+    features = learners.withColumn("x", F.explode(F.array_repeat(F.col("id_student") * 10, times)))
+    sides = (history, future, resources, features)
+    whole = staged(create_ml_dataset(*sides, 2), "whole")
+    size = whole.count() - 3
+    got = candidates.create_ml_sample(*sides, size, 2)
+    want = sample_training_data(whole, size)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    # only the sample meets the features, unless those repeat
+    assert ("Join" in got._jdf.queryExecution().optimizedPlan().toString()) == (copies == 1)
+
+
 def test_site_sets_are_the_relevant_items(interactions_of):
     history = interactions_of([(1, "A", 1, 1), (1, "A", 2, 1), (2, "A", 1, 1), (3, "A", 1, 1)])
     future = interactions_of([(1, "A", 2, 1), (1, "A", 3, 1), (1, "A", 4, 2), (2, "A", 1, 1), (4, "A", 1, 1)])

@@ -99,6 +99,17 @@ def test_svc_learns_saves_and_loads(training, tmp_path):
     assert means[1] > means[0]
 
 
+def test_svc_margins_need_no_cosine_rows(training, monkeypatch):
+    """Each row's 256 cosines went through Spark only to be summed there."""
+    model = create_ml_model(training, "SVC", fourier_features=32)
+    keyed = model_input(training.withColumn(ranker.ROW, F.struct("target")), [ranker.ROW])
+    want = [r.rawPrediction[1] for r in model.transform(keyed).select("rawPrediction").collect()]
+    monkeypatch.setattr(ranker.RandomFourierFeatures, "_transform", None)
+    scored = predict_ml_scores(model, training, "SVC", carry=["target"])
+    assert scored.columns == ["target", "ML_score"]
+    assert [r.ML_score for r in scored.collect()] == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
 def test_errors(training):
     with pytest.raises(ValueError):
         create_ml_model(training, "error")

@@ -142,3 +142,43 @@ def test_category_modes_count_rows_not_combinations(spark):
     rows = [("a", "x"), ("a", "x"), ("a", "x"), ("b", "y"), ("b", "z"), (None, "y"), ("b", None)]
     found = category_modes(spark.createDataFrame(rows, "one string, two string"), ["one", "two"])
     assert {r["column"]: r["mode"] for r in found.collect()} == {"one": "a", "two": "x"}
+
+
+def test_svc_is_fitted_on_every_row(training, monkeypatch):
+    """The query drew 10,000 rows and fitted the SVC on those."""
+    from coursewise.registry import queries
+
+    fitted = []
+    monkeypatch.setattr(queries, "_TRAINED", {})
+    monkeypatch.setattr(queries, "tables_of", lambda spark, sf_dir: None)
+    monkeypatch.setattr(queries, "ml_datasets", lambda tables, a, b, k, sample_size=None: (training.limit(sample_size or 60), training))
+    monkeypatch.setattr(queries, "run_train", lambda rows, path, model_type: fitted.append(rows.count()))
+    monkeypatch.setattr(queries, "load_model", lambda path: path)
+    monkeypatch.setattr(queries, "SAMPLE", 12)
+    queries._trained(training.sparkSession, "", "SVC")
+    assert fitted == [60]
+
+
+def test_svc_reaches_the_hinge_optimum(training):
+    """Its loss is no higher than that of Spark's own fit of the same cosine rows."""
+    from pyspark.ml.classification import LinearSVC
+
+    *stages, fourier, svc = create_ml_model(training, "SVC", fourier_features=16).stages
+    keyed = model_input(training.withColumn(ranker.ROW, F.struct("target")), [ranker.ROW])
+    for stage in [*stages, fourier]:
+        keyed = stage.transform(keyed)
+    rows = keyed.select(
+        F.col("row_keys.target").cast("double").alias("target"),
+        F.when(F.col("row_keys.target") == 1, 1.5).otherwise(0.75).alias("class_weight"),
+        "kernel_features",
+    ).collect()
+
+    def loss(model):
+        w, b = model.coefficients.toArray(), model.intercept
+        hinge = [r.class_weight * max(0, 1 - (2 * r.target - 1) * (r.kernel_features.toArray() @ w + b)) for r in rows]
+        return sum(hinge) / 60 + (w @ w) / 120
+
+    theirs = LinearSVC(
+        labelCol="target", weightCol="class_weight", featuresCol="kernel_features", regParam=1 / 60, standardization=False, maxIter=100
+    ).fit(training.sparkSession.createDataFrame(rows))
+    assert loss(svc) <= loss(theirs) + 0.01

@@ -323,3 +323,20 @@ def test_intersections_of_course_sets_are_staged(interactions_of, monkeypatch):
     overlaps, learners = collab_module.shared_courses(history, staging(course_sets(learner_profiles(history)), "sets"))
     cells = collab_module.clicks_by_shared_courses(history, overlaps, learners)
     assert "parts" in names and cells.count() == 9
+
+
+@pytest.mark.parametrize("items_per_block", [2048, 2])
+def test_scores_are_normalised_in_their_block(interactions_of, monkeypatch, items_per_block):
+    """All scores shuffled by learner for the learner's best one."""
+    from coursewise.functions.scores import max_normalised
+    from coursewise.operators import blocked_product, collaborative
+
+    monkeypatch.setattr(blocked_product, "ITEMS_PER_BLOCK", items_per_block)
+    rows = [(s, "AB"[s % 2], i, 1 + (s * i) % 7) for s in range(1, 9) for i in range(1, 9) if (s + i) % 3]
+    history = interactions_of(rows)
+    profiles = staged(learner_profiles(history), "profiles")
+    want = max_normalised(collaborative.raw_collaborative(history, profiles), "collaborative_score")
+    got = collaborative.collaborative_scores(history, profiles)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 0
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Window" in plan) == (items_per_block == 2)

@@ -182,3 +182,22 @@ def test_svc_reaches_the_hinge_optimum(training):
         labelCol="target", weightCol="class_weight", featuresCol="kernel_features", regParam=1 / 60, standardization=False, maxIter=100
     ).fit(training.sparkSession.createDataFrame(rows))
     assert loss(svc) <= loss(theirs) + 0.01
+
+
+def test_forest_scores_are_its_own_without_its_transformer(training, forest, monkeypatch):
+    """Each row walked each tree on its own, with a search in the sparse features at every node."""
+    keyed = model_input(training.withColumn(ranker.ROW, F.struct("target")), [ranker.ROW])
+    want = [r.probability[1] for r in forest.transform(keyed).select("probability").collect()]
+    monkeypatch.setattr(ranker.RandomForestClassificationModel, "_transform", None)
+    assert [r.ML_score for r in predict_ml_scores(forest, training).collect()] == want
+
+
+def test_both_datasets_are_built_side_by_side(tables, monkeypatch):
+    """The test candidates waited for the training ones."""
+    import threading
+
+    from coursewise.plans import recommend as jobs
+
+    both = threading.Barrier(2)
+    monkeypatch.setattr(jobs, "create_ml_dataset", lambda history, future, *rest: (both.wait(60), history.count(), future.count())[1:])
+    assert jobs.ml_datasets(tables, 1, 2) == ((2, 1), (3, 2))
